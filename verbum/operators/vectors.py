@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbum.functions.text import label_binary, label_signed
+from verbum.operators.parse import explode_tokens
 from verbum.session import bounded_broadcast
 
 
@@ -75,7 +76,8 @@ def doc_vectors(tokens: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
     Presence does not need repeats, so each document's tokens are
     de-duplicated in the row before exploding.
     """
-    pairs = tokens.select("doc_key", F.explode(F.array_distinct("words")).alias("word"))
+    pairs = (tokens.select("doc_key", explode_tokens(F.array_distinct("words")))
+             .where(F.col("word").isNotNull()))
     return binary_vectors(doc_positions(dictionary_join(pairs, dictionary, k)))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from verbum.operators.parse import explode_tokens
 from verbum.session import bounded_broadcast
 
 
@@ -14,7 +15,7 @@ def word_counts(tokens: DataFrame) -> DataFrame:
     Hot words are combined inside each task before the shuffle, so a word
     holding a large share of all tokens ships one row per task.
     """
-    return (tokens.select(F.explode("words").alias("word"))
+    return (tokens.select(explode_tokens("words")).where(F.col("word").isNotNull())
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 

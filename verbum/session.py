@@ -73,3 +73,16 @@ def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
     if row_bound <= broadcast_max_rows(df.sparkSession):
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster's cores when it has fewer splits than cores.
+
+    A large corpus arrives in many file splits and is left alone (no shuffle);
+    a small file with one row group would otherwise run the whole text front
+    end in a single task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

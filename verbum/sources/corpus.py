@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verbum.session import spread
+
 TRAIN = "train"
 TEST = "test"
 ALL = "all"
@@ -28,7 +30,7 @@ TEST_MOD, TEST_REM = 5, 0
 
 def scan_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per text line: ``value string``."""
-    return spark.read.text(path)
+    return spread(spark.read.text(path))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,7 +48,7 @@ def documents_as_lines(documents: DataFrame, side: str = ALL) -> DataFrame:
         raise ValueError(f"unknown corpus side {side!r}")
     key = F.concat(F.when(F.col("lang") == POSITIVE_LANG, F.lit("AU")).otherwise(F.lit("WK")),
                    doc_id.cast("string"))
-    body = F.regexp_replace(F.col("text"), r"[\r\n]", " ")
+    body = F.translate(F.col("text"), "\r\n", "  ")
     url = F.when(doc_id % NO_URL_MOD == NO_URL_REM, F.lit("")).otherwise(
         F.concat(F.lit(' url="http://'), F.col("source"), F.lit("/"), doc_id.cast("string"), F.lit('"')))
     value = F.concat(F.lit('<doc id="'), key, F.lit('"'), url, F.lit(' title="t">'), body, F.lit("</doc>"))
@@ -55,7 +57,7 @@ def documents_as_lines(documents: DataFrame, side: str = ALL) -> DataFrame:
 
 def fixture_corpus(spark: SparkSession, sf_dir: str, side: str = ALL) -> DataFrame:
     """Corpus lines built from ``{sf_dir}/documents.parquet``."""
-    return documents_as_lines(read_table(spark, sf_dir, "documents"), side)
+    return documents_as_lines(spread(read_table(spark, sf_dir, "documents")), side)
 
 
 def range_source(spark: SparkSession, k: int, limit_col=None) -> DataFrame:
