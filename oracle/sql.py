@@ -32,7 +32,7 @@ def lines_cte(name: str, where: str) -> str:
   SELECT '<doc id="' || (CASE WHEN lang = 'de' THEN 'AU' ELSE 'WK' END) || CAST(doc_id AS VARCHAR) || '"'
       || (CASE WHEN doc_id % 50 = 7 THEN ''
                ELSE ' url="http://' || source || '/' || CAST(doc_id AS VARCHAR) || '"' END)
-      || ' title="t">' || translate(text, chr(13) || chr(10), '  ') || '</doc>' AS value
+      || ' title="t">' || replace(replace(text, chr(13), ' '), chr(10), ' ') || '</doc>' AS value
   FROM documents {where})"""
 
 

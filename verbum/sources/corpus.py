@@ -48,7 +48,9 @@ def documents_as_lines(documents: DataFrame, side: str = ALL) -> DataFrame:
         raise ValueError(f"unknown corpus side {side!r}")
     key = F.concat(F.when(F.col("lang") == POSITIVE_LANG, F.lit("AU")).otherwise(F.lit("WK")),
                    doc_id.cast("string"))
-    body = F.translate(F.col("text"), "\r\n", "  ")
+    # each CR and each LF becomes one space (plain byte-level replace: the
+    # line expression is re-evaluated by pushed-down marker filters)
+    body = F.replace(F.replace(F.col("text"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     url = F.when(doc_id % NO_URL_MOD == NO_URL_REM, F.lit("")).otherwise(
         F.concat(F.lit(' url="http://'), F.col("source"), F.lit("/"), doc_id.cast("string"), F.lit('"')))
     value = F.concat(F.lit('<doc id="'), key, F.lit('"'), url, F.lit(' title="t">'), body, F.lit("</doc>"))
