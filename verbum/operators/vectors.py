@@ -58,10 +58,13 @@ def tf_vectors(positions: DataFrame) -> DataFrame:
 def binary_vectors(positions: DataFrame) -> DataFrame:
     """``(doc_key, idx array<int>)``: ascending distinct positions (presence vector).
 
-    ``collect_set`` de-duplicates inside each task before the shuffle, so a
-    document (or a duplicated document id) ships at most K positions per task.
+    Two aggregates keep every group small even when one document id holds a
+    large share of all rows: distinct ``(doc_key, pos)`` first (a hot document
+    spreads over its K positions, map-side de-duplicated), then one collect
+    per document over at most K rows in total.
     """
-    return positions.groupBy("doc_key").agg(F.array_sort(F.collect_set("pos")).alias("idx"))
+    distinct = positions.select("doc_key", "pos").distinct()
+    return distinct.groupBy("doc_key").agg(F.array_sort(F.collect_list("pos")).alias("idx"))
 
 
 def binary_vectors_from_tf(tf: DataFrame) -> DataFrame:
@@ -71,7 +74,7 @@ def binary_vectors_from_tf(tf: DataFrame) -> DataFrame:
 
 
 def doc_vectors(tokens: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
-    """Tokens -> presence vectors in one shuffle.
+    """Tokens -> presence vectors.
 
     Presence does not need repeats, so each document's tokens are
     de-duplicated in the row before exploding.
