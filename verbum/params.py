@@ -23,8 +23,10 @@ class Params:
     svm_tol: float = 1e-5
     # regularisation constant is n / c_divisor
     c_divisor: float = 1e16
-    # logistic regression (L-BFGS) iteration cap and convergence tolerance
+    # logistic regression (L-BFGS) iteration caps (full / reduced dictionary)
+    # and convergence tolerance
     lr_max_iter: int = 100
+    lr_max_iter_reduced: int = 400
     lr_tol: float = 1e-6
     # number of top words in the coefficient report
     top_n: int = 5

@@ -106,7 +106,7 @@ def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_line
     m = params.m
     train_v = materialize(vectors_of(train_lines, rd, m), "reduced-train")
     test_v = vectors_of(test_lines, rd, m)
-    lr = run_lr(train_v, test_v, m, params)
+    lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced))
     svm = run_svm(train_v, test_v, m, params)
     n_feat = rd.count()
     rows = model_row(lr.metrics, "logistic_regression", n_feat).unionByName(
