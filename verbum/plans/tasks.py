@@ -106,8 +106,12 @@ def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_line
     m = params.m
     train_v = materialize(vectors_of(train_lines, rd, m), "reduced-train")
     test_v = vectors_of(test_lines, rd, m)
-    lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced))
-    svm = run_svm(train_v, test_v, m, params)
+    try:
+        lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced))
+        svm = run_svm(train_v, test_v, m, params)
+    finally:
+        # both models are trained; the written table stays readable, only the cache goes
+        train_v.unpersist()
     n_feat = rd.count()
     rows = model_row(lr.metrics, "logistic_regression", n_feat).unionByName(
         model_row(svm.metrics, "linear_svm", n_feat))
