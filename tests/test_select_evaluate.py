@@ -56,3 +56,18 @@ def test_confusion_counts_cover_all_rows(spark):
     assert (empty.tp, empty.fp, empty.fn, empty.tn) == (0, 0, 0, 0)
     rep = [r.line for r in ev.metrics_report(ev.f1_score(ev.confusion_matrix_signed(pred))).orderBy("ord").collect()]
     assert rep[0] == "F1 score for classifier = 50.00 %" and rep[4] == "Number of True Negatives = 2"
+
+
+def test_report_sink_single_file(spark, tmp_path):
+    import os
+
+    from verbum.sources.report import write_report
+
+    conf = spark.createDataFrame([(374, 0, 3, 18347)], "tp bigint, fp bigint, fn bigint, tn bigint")
+    path = write_report(ev.metrics_report(ev.f1_score(conf)), str(tmp_path / "report"))
+    parts = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(parts) == 1
+    lines = open(os.path.join(path, parts[0])).read().splitlines()
+    assert lines == ["F1 score for classifier = 99.60 %", "Number of True Positives = 374",
+                     "Number of False Positives = 0", "Number of False Negatives = 3",
+                     "Number of True Negatives = 18347"]
