@@ -26,13 +26,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbum.operators.linear import dot_product
 from verbum.params import Params
-from verbum.session import scratch_path
+from verbum.session import materialize
 
 PARTIAL_SCHEMA = "pos int, g double, hinge double, gb double"
 TRACE_SCHEMA = "iter int, cost double, learning_rate double, intercept double, margin double"
@@ -76,18 +75,6 @@ def _partials_kernel(bw, b: float, k: int):
     return run
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the checkpoint folder, read it back and cache it.
-
-    Cuts the lineage (a lost executor re-reads files instead of re-running the
-    front end) and computes the input exactly once.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 # Per-partition partials go straight to the driver (Arrow) only while
 # partitions x (K + 1) stays under this many values; beyond it Spark combines
 # them with a keyed aggregate over K positions first.

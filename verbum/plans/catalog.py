@@ -25,7 +25,7 @@ from verbum.operators.svm import SvmModel, svm_early_stop, svm_predict, svm_trai
 from verbum.params import FIXTURE_EARLY_STOP_TOL, FIXTURE_PARAMS as P
 from verbum.plans import tasks as tk
 from verbum.plans.tasks import round_doubles
-from verbum.session import scratch_path
+from verbum.session import scratch_path, write_and_read
 from verbum.sources import coefficients as co
 from verbum.sources.corpus import ALL, TEST, TRAIN, fixture_corpus, range_source, scan_corpus
 
@@ -34,63 +34,74 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ---------------------------------------------------------------- shared stages
 
-def _lines(spark, sf, side=ALL):
-    return fixture_corpus(spark, sf, side)
+class _Fx:
+    """Per-query stages.  Anything read more than once (dictionary, vectors,
+    first-step model) is written once under ``spark.checkpoint.dir`` and read
+    back, so each corpus side is tokenised once per query, not once per use."""
 
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+        self._memo: dict = {}
 
-def _train_tokens(spark, sf):
-    return ps.corpus_tokens(_lines(spark, sf, TRAIN))
+    def _once(self, key, make):
+        if key not in self._memo:
+            self._memo[key] = make()
+        return self._memo[key]
 
+    def lines(self, side=ALL):
+        return fixture_corpus(self.spark, self.sf, side)
 
-def _dictionary(spark, sf):
-    return vc.build_dictionary(vc.word_counts(_train_tokens(spark, sf)), P.k)
+    def train_tokens(self):
+        return ps.corpus_tokens(self.lines(TRAIN))
 
+    def dictionary(self):
+        return self._once("dict", lambda: write_and_read(
+            vc.build_dictionary(vc.word_counts(self.train_tokens()), P.k), "dictionary"))
 
-def _vectors(spark, sf, side):
-    return vx.doc_vectors(ps.corpus_tokens(_lines(spark, sf, side)), _dictionary(spark, sf), P.k)
+    def vectors(self, side):
+        return self._once(("vec", side), lambda: write_and_read(
+            vx.doc_vectors(ps.corpus_tokens(self.lines(side)), self.dictionary(), P.k), f"vectors-{side}"))
 
+    def signed(self, side):
+        return vx.with_signed_label(self.vectors(side))
 
-def _signed(spark, sf, side):
-    return vx.with_signed_label(_vectors(spark, sf, side))
+    def joined(self, side):
+        return vx.dictionary_join(ps.word_doc_pairs(ps.corpus_tokens(self.lines(side))), self.dictionary(), P.k)
 
+    def first_step(self):
+        """``(pos, weight, intercept)`` after one SVM step from zero (K rows)."""
+        return self._once("step1", lambda: write_and_read(
+            lin.svm_first_step(self.signed(TRAIN), self.dictionary(), P.k, P.svm_rate, P.c_divisor), "first-step"))
 
-def _first_step(spark, sf):
-    """``(pos, weight, intercept)`` after one SVM step from zero."""
-    return lin.svm_first_step(_signed(spark, sf, TRAIN), _dictionary(spark, sf), P.k, P.svm_rate, P.c_divisor)
+    def first_weights(self):
+        return self.first_step().select("pos", "weight")
 
+    def first_intercept(self):
+        return self.first_step().select(F.max("intercept")).scalar()
 
-def _first_weights(spark, sf):
-    return _first_step(spark, sf).select("pos", "weight")
+    def coefficients(self):
+        """First-step weights written as a coefficient report, then read back."""
+        def make():
+            w = self.first_weights()
+            top = sl.top_coefficient_words(w.withColumnRenamed("weight", "coef"), self.dictionary(), P.k, P.top_n)
+            report = co.coefficient_report_lines(w, top, None)
+            path = co.write_coefficient_report(report, scratch_path(self.spark, "coefficients"))
+            return co.load_coefficients(self.spark, path)
+        return self._once("coefs", make)
 
+    def svm_model(self) -> SvmModel:
+        return self._once("svm", lambda: svm_train(self.signed(TRAIN), P.k, P))
 
-def _first_intercept(spark, sf):
-    return _first_step(spark, sf).select(F.max("intercept")).scalar()
+    def svm_pred(self):
+        model = self.svm_model()
+        return svm_predict(self.signed(TEST), model.weights(self.spark), model.intercept, P.k)
 
+    def svm_metrics(self):
+        return ev.f1_score(ev.confusion_matrix_signed(self.svm_pred()))
 
-def _coefficients(spark, sf):
-    """First-step weights written as a coefficient report, then read back."""
-    w = _first_weights(spark, sf)
-    top = sl.top_coefficient_words(w.withColumnRenamed("weight", "coef"), _dictionary(spark, sf), P.k, P.top_n)
-    report = co.coefficient_report_lines(w, top, None)
-    path = co.write_coefficient_report(report, scratch_path(spark, "coefficients"))
-    return co.load_coefficients(spark, path)
-
-
-def _svm_model(spark, sf, params=P) -> SvmModel:
-    return svm_train(_signed(spark, sf, TRAIN), params.k, params)
-
-
-def _svm_pred(spark, sf):
-    model = _svm_model(spark, sf)
-    return svm_predict(_signed(spark, sf, TEST), model.weights(spark), model.intercept, P.k)
-
-
-def _svm_metrics(spark, sf):
-    return ev.f1_score(ev.confusion_matrix_signed(_svm_pred(spark, sf)))
-
-
-def _reduced(spark, sf, weighted=True):
-    return tk.reduced_dictionary(_dictionary(spark, sf), _coefficients(spark, sf) if weighted else None, P, weighted)
+    def reduced(self, weighted=True):
+        return self._once(("reduced", weighted), lambda: write_and_read(tk.reduced_dictionary(
+            self.dictionary(), self.coefficients() if weighted else None, P, weighted), "reduced-dictionary"))
 
 
 def _metrics_cols(df):
@@ -100,126 +111,150 @@ def _metrics_cols(df):
 # ---------------------------------------------------------------- queries
 
 def q_scan_corpus(spark, sf):
+    fx = _Fx(spark, sf)
     path = scratch_path(spark, "corpus")
-    _lines(spark, sf).write.text(path)
+    fx.lines().write.text(path)
     return scan_corpus(spark, path)
 
 
 def q_load_coefficients(spark, sf):
-    return round_doubles(_coefficients(spark, sf))
+    fx = _Fx(spark, sf)
+    return round_doubles(fx.coefficients())
 
 
 def q_range_source(spark, sf):
-    vocab = vc.word_counts(_train_tokens(spark, sf)).select(F.count(F.lit(1))).scalar()
+    fx = _Fx(spark, sf)
+    vocab = vc.word_counts(fx.train_tokens()).select(F.count(F.lit(1))).scalar()
     return range_source(spark, P.k, vocab)
 
 
 def q_metrics_report(spark, sf):
-    return ev.metrics_report(_svm_metrics(spark, sf))
+    fx = _Fx(spark, sf)
+    return ev.metrics_report(fx.svm_metrics())
 
 
 def q_valid_doc_lines(spark, sf):
-    return ps.valid_doc_lines(_lines(spark, sf))
+    fx = _Fx(spark, sf)
+    return ps.valid_doc_lines(fx.lines())
 
 
 def q_extract_doc_id(spark, sf):
-    return ps.extract_doc_id(_lines(spark, sf))
+    fx = _Fx(spark, sf)
+    return ps.extract_doc_id(fx.lines())
 
 
 def q_extract_doc_text(spark, sf):
-    return ps.parse_documents(_lines(spark, sf))
+    fx = _Fx(spark, sf)
+    return ps.parse_documents(fx.lines())
 
 
 def q_normalize_text(spark, sf):
-    return ps.normalize_text(ps.parse_documents(_lines(spark, sf)))
+    fx = _Fx(spark, sf)
+    return ps.normalize_text(ps.parse_documents(fx.lines()))
 
 
 def q_tokenize(spark, sf):
-    return ps.tokenize(ps.parse_documents(_lines(spark, sf)))
+    fx = _Fx(spark, sf)
+    return ps.tokenize(ps.parse_documents(fx.lines()))
 
 
 def q_explode_words(spark, sf):
-    return ps.explode_words(ps.corpus_tokens(_lines(spark, sf)))
+    fx = _Fx(spark, sf)
+    return ps.explode_words(ps.corpus_tokens(fx.lines()))
 
 
 def q_word_doc_pairs(spark, sf):
-    return ps.word_doc_pairs(ps.corpus_tokens(_lines(spark, sf)))
-
-
-def _joined(spark, sf, side):
-    return vx.dictionary_join(ps.word_doc_pairs(ps.corpus_tokens(_lines(spark, sf, side))), _dictionary(spark, sf), P.k)
+    fx = _Fx(spark, sf)
+    return ps.word_doc_pairs(ps.corpus_tokens(fx.lines()))
 
 
 def q_doc_positions(spark, sf):
-    return vx.doc_positions(_joined(spark, sf, TRAIN))
+    fx = _Fx(spark, sf)
+    return vx.doc_positions(fx.joined(TRAIN))
 
 
 def q_label_binary(spark, sf):
-    return vx.with_binary_label(_vectors(spark, sf, TRAIN)).select("doc_key", "label")
+    fx = _Fx(spark, sf)
+    return vx.with_binary_label(fx.vectors(TRAIN)).select("doc_key", "label")
 
 
 def q_label_signed(spark, sf):
-    return _signed(spark, sf, TRAIN).select("doc_key", "label")
+    fx = _Fx(spark, sf)
+    return fx.signed(TRAIN).select("doc_key", "label")
 
 
 def q_labeled_points(spark, sf):
-    return vx.labeled_points(_vectors(spark, sf, TRAIN), signed=False)
+    fx = _Fx(spark, sf)
+    return vx.labeled_points(fx.vectors(TRAIN), signed=False)
 
 
 def q_split_list_line(spark, sf):
-    return round_doubles(co.split_list_line(co.coefficient_list_line(_first_weights(spark, sf))))
+    fx = _Fx(spark, sf)
+    return round_doubles(co.split_list_line(co.coefficient_list_line(fx.first_weights())))
 
 
 def q_dictionary_join(spark, sf):
-    return _joined(spark, sf, TRAIN)
+    fx = _Fx(spark, sf)
+    return fx.joined(TRAIN)
 
 
 def q_dictionary_join_test(spark, sf):
-    return _joined(spark, sf, TEST)
+    fx = _Fx(spark, sf)
+    return fx.joined(TEST)
 
 
 def q_filter_dictionary(spark, sf):
-    sel = tk.select_positions(_coefficients(spark, sf), _dictionary(spark, sf), P, weighted=True)
-    return vc.filter_dictionary(_dictionary(spark, sf), sel, P.m)
+    fx = _Fx(spark, sf)
+    sel = tk.select_positions(fx.coefficients(), fx.dictionary(), P, weighted=True)
+    return vc.filter_dictionary(fx.dictionary(), sel, P.m)
 
 
 def q_word_counts(spark, sf):
-    return vc.word_counts(_train_tokens(spark, sf))
+    fx = _Fx(spark, sf)
+    return vc.word_counts(fx.train_tokens())
 
 
 def q_doc_position_lists(spark, sf):
-    return vx.doc_position_lists(vx.doc_positions(_joined(spark, sf, TRAIN)))
+    fx = _Fx(spark, sf)
+    return vx.doc_position_lists(vx.doc_positions(fx.joined(TRAIN)))
 
 
 def q_tf_vectors(spark, sf):
-    return round_doubles(vx.tf_vectors(vx.doc_positions(_joined(spark, sf, TRAIN))))
+    fx = _Fx(spark, sf)
+    return round_doubles(vx.tf_vectors(vx.doc_positions(fx.joined(TRAIN))))
 
 
 def q_binary_vectors(spark, sf):
-    return vx.binary_vectors(vx.doc_positions(_joined(spark, sf, TRAIN)))
+    fx = _Fx(spark, sf)
+    return vx.binary_vectors(vx.doc_positions(fx.joined(TRAIN)))
 
 
 def q_training_row_count(spark, sf):
-    return vx.training_row_count(_vectors(spark, sf, TRAIN))
+    fx = _Fx(spark, sf)
+    return vx.training_row_count(fx.vectors(TRAIN))
 
 
 def q_coefficient_min_max(spark, sf):
-    return round_doubles(sl.coefficient_min_max(_coefficients(spark, sf)))
+    fx = _Fx(spark, sf)
+    return round_doubles(sl.coefficient_min_max(fx.coefficients()))
 
 
 def q_hinge_cost(spark, sf):
-    return round_doubles(lin.hinge_cost(_signed(spark, sf, TRAIN), _first_weights(spark, sf),
-                                        _first_intercept(spark, sf), P.k, P.c_divisor))
+    fx = _Fx(spark, sf)
+    return round_doubles(lin.hinge_cost(fx.signed(TRAIN), fx.first_weights(),
+                                        fx.first_intercept(), P.k, P.c_divisor))
 
 
 def q_hinge_gradient(spark, sf):
-    return round_doubles(lin.hinge_gradient(_signed(spark, sf, TRAIN), _first_weights(spark, sf),
-                                            _first_intercept(spark, sf), P.k, P.c_divisor))
+    fx = _Fx(spark, sf)
+    return round_doubles(lin.hinge_gradient(fx.signed(TRAIN), fx.first_weights(),
+                                            fx.first_intercept(), P.k, P.c_divisor))
 
 
 def q_intercept_gradient(spark, sf):
-    return round_doubles(lin.intercept_gradient(_signed(spark, sf, TRAIN), _first_weights(spark, sf),
-                                                _first_intercept(spark, sf), P.k))
+    fx = _Fx(spark, sf)
+    return round_doubles(lin.intercept_gradient(fx.signed(TRAIN), fx.first_weights(),
+                                                fx.first_intercept(), P.k))
 
 
 def q_confusion_matrix(spark, sf):
@@ -227,102 +262,125 @@ def q_confusion_matrix(spark, sf):
 
 
 def q_confusion_matrix_signed(spark, sf):
-    return ev.confusion_matrix_signed(_svm_pred(spark, sf))
+    fx = _Fx(spark, sf)
+    return ev.confusion_matrix_signed(fx.svm_pred())
 
 
 def q_precision_recall(spark, sf):
-    return round_doubles(ev.precision_recall(ev.confusion_matrix_signed(_svm_pred(spark, sf))))
+    fx = _Fx(spark, sf)
+    return round_doubles(ev.precision_recall(ev.confusion_matrix_signed(fx.svm_pred())))
 
 
 def q_f1_score(spark, sf):
-    return round_doubles(_metrics_cols(_svm_metrics(spark, sf)))
+    fx = _Fx(spark, sf)
+    return round_doubles(_metrics_cols(fx.svm_metrics()))
 
 
 def q_top_words(spark, sf):
-    return vc.top_words(vc.word_counts(_train_tokens(spark, sf)), P.k)
+    fx = _Fx(spark, sf)
+    return vc.top_words(vc.word_counts(fx.train_tokens()), P.k)
 
 
 def q_build_dictionary(spark, sf):
-    return _dictionary(spark, sf)
+    fx = _Fx(spark, sf)
+    return fx.dictionary()
 
 
 def q_reindex_dictionary(spark, sf):
-    return _reduced(spark, sf, weighted=True)
+    fx = _Fx(spark, sf)
+    return fx.reduced(True)
 
 
 def q_sample_features_uniform(spark, sf):
-    return sl.sample_features_uniform(_dictionary(spark, sf).select("pos"), P.m, P.seed)
+    fx = _Fx(spark, sf)
+    return sl.sample_features_uniform(fx.dictionary().select("pos"), P.m, P.seed)
 
 
 def q_minmax_normalize(spark, sf):
-    return round_doubles(sl.minmax_normalize(_coefficients(spark, sf)))
+    fx = _Fx(spark, sf)
+    return round_doubles(sl.minmax_normalize(fx.coefficients()))
 
 
 def q_reduced_feature_vectors(spark, sf):
-    rd = _reduced(spark, sf, weighted=True)
-    return tk.vectors_of(_lines(spark, sf, TRAIN), rd, P.m)
+    fx = _Fx(spark, sf)
+    rd = fx.reduced(True)
+    return tk.vectors_of(fx.lines(TRAIN), rd, P.m)
 
 
 def q_top_coefficient_words(spark, sf):
-    return round_doubles(sl.top_coefficient_words(_coefficients(spark, sf), _dictionary(spark, sf), P.k, P.top_n))
+    fx = _Fx(spark, sf)
+    return round_doubles(sl.top_coefficient_words(fx.coefficients(), fx.dictionary(), P.k, P.top_n))
 
 
 def q_select_top_features(spark, sf):
-    return round_doubles(sl.select_top_features(_coefficients(spark, sf), P.top_n))
+    fx = _Fx(spark, sf)
+    return round_doubles(sl.select_top_features(fx.coefficients(), P.top_n))
 
 
 def q_sample_features_weighted(spark, sf):
-    return sl.sample_features_weighted(sl.minmax_normalize(_coefficients(spark, sf)), P.m, P.seed)
+    fx = _Fx(spark, sf)
+    return sl.sample_features_weighted(sl.minmax_normalize(fx.coefficients()), P.m, P.seed)
 
 
 def q_dot_product(spark, sf):
-    return round_doubles(lin.dot_product(_signed(spark, sf, TEST), _first_weights(spark, sf), P.k))
+    fx = _Fx(spark, sf)
+    return round_doubles(lin.dot_product(fx.signed(TEST), fx.first_weights(), P.k))
 
 
 def q_weight_norm_margin(spark, sf):
-    return round_doubles(lin.weight_norm_margin(_first_weights(spark, sf)))
+    fx = _Fx(spark, sf)
+    return round_doubles(lin.weight_norm_margin(fx.first_weights()))
 
 
 def q_lr_train(spark, sf):
-    model = lr_train(vx.with_binary_label(_vectors(spark, sf, TRAIN)), P.k, P.with_(lr_max_iter=100))
+    fx = _Fx(spark, sf)
+    model = lr_train(vx.with_binary_label(fx.vectors(TRAIN)), P.k, P.with_(lr_max_iter=100))
     return round_doubles(lr_weights(model, spark))
 
 
 def q_lr_predict(spark, sf):
-    model = lr_train(vx.with_binary_label(_vectors(spark, sf, TRAIN)), P.k, P.with_(lr_max_iter=100))
-    return round_doubles(lr_predict(model, vx.with_binary_label(_vectors(spark, sf, TEST)), P.k))
+    fx = _Fx(spark, sf)
+    model = lr_train(vx.with_binary_label(fx.vectors(TRAIN)), P.k, P.with_(lr_max_iter=100))
+    return round_doubles(lr_predict(model, vx.with_binary_label(fx.vectors(TEST)), P.k))
 
 
 def q_lr_score(spark, sf):
-    return round_doubles(lr_score(vx.with_binary_label(_vectors(spark, sf, TEST)), _first_weights(spark, sf), P.k))
+    fx = _Fx(spark, sf)
+    return round_doubles(lr_score(vx.with_binary_label(fx.vectors(TEST)), fx.first_weights(), P.k))
 
 
 def q_svm_step(spark, sf):
-    return round_doubles(_first_step(spark, sf))
+    fx = _Fx(spark, sf)
+    return round_doubles(fx.first_step())
 
 
 def q_svm_train(spark, sf):
-    model = _svm_model(spark, sf)
+    fx = _Fx(spark, sf)
+    model = fx.svm_model()
     return round_doubles(model.weights(spark).withColumn("intercept", F.lit(float(model.intercept))))
 
 
 def q_svm_training_trace(spark, sf):
-    return round_doubles(_svm_model(spark, sf).trace(spark))
+    fx = _Fx(spark, sf)
+    return round_doubles(fx.svm_model().trace(spark))
 
 
 def q_svm_early_stop(spark, sf):
-    return svm_early_stop(_svm_model(spark, sf).trace(spark), FIXTURE_EARLY_STOP_TOL)
+    fx = _Fx(spark, sf)
+    return svm_early_stop(fx.svm_model().trace(spark), FIXTURE_EARLY_STOP_TOL)
 
 
 def q_svm_predict(spark, sf):
-    return round_doubles(_svm_pred(spark, sf))
+    fx = _Fx(spark, sf)
+    return round_doubles(fx.svm_pred())
 
 
 def q_svm_model_comparison(spark, sf):
-    full = ev.model_row(_svm_metrics(spark, sf), "linear_svm_full", P.k)
-    rd = _reduced(spark, sf, weighted=True)
-    tr = vx.with_signed_label(tk.vectors_of(_lines(spark, sf, TRAIN), rd, P.m))
-    te = vx.with_signed_label(tk.vectors_of(_lines(spark, sf, TEST), rd, P.m))
+    fx = _Fx(spark, sf)
+    full = ev.model_row(fx.svm_metrics(), "linear_svm_full", P.k)
+    rd = fx.reduced(True)
+    tr = vx.with_signed_label(tk.vectors_of(fx.lines(TRAIN), rd, P.m))
+    te = vx.with_signed_label(tk.vectors_of(fx.lines(TEST), rd, P.m))
     model = svm_train(tr, P.m, P)
     pred = svm_predict(te, model.weights(spark), model.intercept, P.m)
     reduced = ev.model_row(ev.f1_score(ev.confusion_matrix_signed(pred)), "linear_svm_reduced", P.m)
@@ -330,10 +388,11 @@ def q_svm_model_comparison(spark, sf):
 
 
 def q_model_comparison(spark, sf):
-    tr_lines, te_lines = _lines(spark, sf, TRAIN), _lines(spark, sf, TEST)
+    fx = _Fx(spark, sf)
+    tr_lines, te_lines = fx.lines(TRAIN), fx.lines(TEST)
     svm_full = tk.task_svm_full(tr_lines, te_lines, P)
     lr_full = tk.task_lr_full(tr_lines, te_lines, P)
-    rows, _, _ = tk.task_reduced_both(tr_lines, _coefficients(spark, sf), te_lines, P)
+    rows, _, _ = tk.task_reduced_both(tr_lines, fx.coefficients(), te_lines, P)
     return ev.model_comparison([
         ev.model_row(lr_full.metrics, "logistic_regression_full", P.k),
         ev.model_row(svm_full.metrics, "linear_svm_full", P.k),
@@ -342,17 +401,20 @@ def q_model_comparison(spark, sf):
 
 
 def q_task_lr_full(spark, sf):
-    r = tk.task_lr_full(_lines(spark, sf, TRAIN), _lines(spark, sf, TEST), P)
+    fx = _Fx(spark, sf)
+    r = tk.task_lr_full(fx.lines(TRAIN), fx.lines(TEST), P)
     return round_doubles(_metrics_cols(r.metrics))
 
 
 def q_task_svm_full(spark, sf):
-    r = tk.task_svm_full(_lines(spark, sf, TRAIN), _lines(spark, sf, TEST), P)
+    fx = _Fx(spark, sf)
+    r = tk.task_svm_full(fx.lines(TRAIN), fx.lines(TEST), P)
     return round_doubles(_metrics_cols(r.metrics))
 
 
 def q_task_reduced_both(spark, sf):
-    rows, _, _ = tk.task_reduced_both(_lines(spark, sf, TRAIN), _coefficients(spark, sf), _lines(spark, sf, TEST), P)
+    fx = _Fx(spark, sf)
+    rows, _, _ = tk.task_reduced_both(fx.lines(TRAIN), fx.coefficients(), fx.lines(TEST), P)
     return rows
 
 

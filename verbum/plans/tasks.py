@@ -16,10 +16,11 @@ from verbum.operators.evaluate import confusion_matrix, confusion_matrix_signed,
 from verbum.operators.logreg import lr_predict, lr_train
 from verbum.operators.parse import corpus_tokens
 from verbum.operators.select import minmax_normalize, sample_features_uniform, sample_features_weighted
-from verbum.operators.svm import SvmModel, materialize, svm_predict, svm_train
+from verbum.operators.svm import SvmModel, svm_predict, svm_train
 from verbum.operators.vectors import doc_vectors, with_binary_label, with_signed_label
 from verbum.operators.vocab import build_dictionary, filter_dictionary, reindex_dictionary, word_counts
 from verbum.params import Params
+from verbum.session import materialize
 
 
 def dictionary_of(train_lines: DataFrame, k: int) -> DataFrame:

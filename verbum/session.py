@@ -86,3 +86,22 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the checkpoint folder and return a DataFrame reading it.
+
+    Cuts the lineage: every later pass (and every re-run after a lost
+    executor) reads the written files instead of recomputing the input.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``write_and_read`` plus a MEMORY_AND_DISK cache, for inputs read many times."""
+    from pyspark import StorageLevel
+
+    return write_and_read(df, name).persist(StorageLevel.MEMORY_AND_DISK)
