@@ -9,7 +9,8 @@ Queries (each timed end to end, results forced with a small collect):
   dictionary        word counts + top-K dictionary of the training side
   task_lr_full      LR (L-BFGS, <= 100 iterations) on K = 20,000 words
   task_svm_full     linear SVM (<= 400 iterations, rate 0.001) on K = 20,000 words
-  task_reduced_both LR + SVM on m = 10,000 words chosen by coefficient weight
+  task_reduced_both LR + SVM on m = 10,000 words chosen by coefficient weight,
+                    reading the coefficient report task_svm_full wrote
 """
 
 from __future__ import annotations
@@ -22,11 +23,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from verbum.operators import linear as lin  # noqa: E402
-from verbum.operators.vectors import with_signed_label  # noqa: E402
 from verbum.params import Params  # noqa: E402
 from verbum.plans import tasks as tk  # noqa: E402
-from verbum.session import build_session  # noqa: E402
+from verbum.session import build_session, scratch_path  # noqa: E402
+from verbum.sources.coefficients import load_coefficients  # noqa: E402
 from verbum.sources.corpus import TEST, TRAIN, fixture_corpus  # noqa: E402
 
 
@@ -53,13 +53,12 @@ def main() -> None:
     r = tk.task_svm_full(train, test, params)
     info["svm_full"] = r.metrics.select("tp", "fp", "fn", "tn", "f1_pct").first().asDict()
     info["svm_full_iterations"] = r.model.iterations
+    # as in the reference, task 2 writes the coefficient report task 3 reads
+    coef_path = tk.write_svm_coefficients(r, params, scratch_path(spark, "coefficient-report"))
     times["task_svm_full"] = time.time() - t
 
     t = time.time()
-    dd = tk.materialized_dictionary(train, params.k)
-    coefs = lin.svm_first_step(with_signed_label(tk.vectors_of(train, dd, params.k)), dd, params.k,
-                               params.svm_rate, params.c_divisor).select("pos", "weight").withColumnRenamed("weight", "coef")
-    rows, _, svm = tk.task_reduced_both(train, coefs, test, params)
+    rows, _, svm = tk.task_reduced_both(train, load_coefficients(spark, coef_path), test, params)
     info["reduced"] = [x.asDict() for x in rows.collect()]
     info["svm_reduced_iterations"] = svm.model.iterations
     times["task_reduced_both"] = time.time() - t

@@ -93,3 +93,18 @@ def test_early_stop(spark, fixture_vectors):
     assert (r.stop_iter, r.converged) == (4, True)
     stopped = svm_train(tr, P.k, P.with_(svm_tol=0.1))
     assert stopped.iterations == 4 and stopped.converged
+
+
+def test_task_svm_coefficient_report_round_trip(spark, tmp_path):
+    """Task 2 writes its model as a coefficient report; task 3's loader reads back the same K weights."""
+    from verbum.sources.coefficients import load_coefficients
+
+    tr, te = fixture_corpus(spark, SF001, TRAIN), fixture_corpus(spark, SF001, TEST)
+    r = tk.task_svm_full(tr, te, P)
+    path = tk.write_svm_coefficients(r, P, str(tmp_path / "coef-report"))
+    got = load_coefficients(spark, path).orderBy("pos").toPandas()
+    assert list(got["pos"]) == list(range(len(r.model.w)))
+    np.testing.assert_allclose(got["coef"].to_numpy(), r.model.w, rtol=1e-12, atol=0)
+    text = [x.value for x in spark.read.text(path).collect()]
+    assert any(x.startswith("[") for x in text)
+    assert sum(1 for x in text if x.startswith("(")) == min(P.top_n, len(r.model.w))

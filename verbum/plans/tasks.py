@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from verbum.operators.evaluate import confusion_matrix, confusion_matrix_signed, f1_score, metrics_report, model_row
 from verbum.operators.logreg import lr_predict, lr_train
 from verbum.operators.parse import corpus_tokens
-from verbum.operators.select import minmax_normalize, sample_features_uniform, sample_features_weighted
+from verbum.operators.select import (minmax_normalize, sample_features_uniform, sample_features_weighted,
+                                     top_coefficient_words)
 from verbum.operators.svm import SvmModel, svm_predict, svm_train
 from verbum.operators.vectors import doc_vectors, with_binary_label, with_signed_label
 from verbum.operators.vocab import build_dictionary, filter_dictionary, reindex_dictionary, word_counts
 from verbum.params import Params
 from verbum.session import materialize
+from verbum.sources.coefficients import coefficient_report_lines, write_coefficient_report
 
 
 def dictionary_of(train_lines: DataFrame, k: int) -> DataFrame:
@@ -44,6 +46,7 @@ class TaskResult:
     predictions: DataFrame      # doc_key label [score|probability] prediction
     report: DataFrame           # (ord, line)
     model: object = None
+    dictionary: DataFrame = None  # (word, pos) the features are numbered by
 
 
 def _result(pred: DataFrame, signed: bool, model=None) -> TaskResult:
@@ -71,12 +74,29 @@ def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Pa
 
 def task_svm_full(train_lines: DataFrame, test_lines: DataFrame, params: Params = Params()) -> TaskResult:
     d = materialized_dictionary(train_lines, params.k)
-    return run_svm(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params)
+    r = run_svm(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params)
+    r.dictionary = d
+    return r
 
 
 def task_lr_full(train_lines: DataFrame, test_lines: DataFrame, params: Params = Params()) -> TaskResult:
     d = materialized_dictionary(train_lines, params.k)
-    return run_lr(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params)
+    r = run_lr(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params)
+    r.dictionary = d
+    return r
+
+
+def write_svm_coefficients(result: TaskResult, params: Params, path: str) -> str:
+    """Write a trained SVM's coefficient report (top words, final cost, the K-value list).
+
+    This is the file the reduced-dictionary task reads its coefficients from.
+    """
+    spark = result.dictionary.sparkSession
+    model: SvmModel = result.model
+    w = model.weights(spark)
+    top = top_coefficient_words(w.withColumnRenamed("weight", "coef"), result.dictionary, params.k, params.top_n)
+    cost = model.trace_rows[-1][1] if model.trace_rows else None
+    return write_coefficient_report(coefficient_report_lines(w, top, cost), path)
 
 
 def select_positions(coefs: DataFrame | None, dictionary: DataFrame, params: Params, weighted: bool = True) -> DataFrame:
@@ -105,17 +125,20 @@ def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_line
     d = materialized_dictionary(train_lines, params.k)
     rd = materialize(reduced_dictionary(d, coefs, params, weighted), "reduced-dictionary")
     m = params.m
+    # both sides are written once: each model trains on / scores the same tables
     train_v = materialize(vectors_of(train_lines, rd, m), "reduced-train")
-    test_v = vectors_of(test_lines, rd, m)
+    test_v = materialize(vectors_of(test_lines, rd, m), "reduced-test")
     try:
         lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced))
         svm = run_svm(train_v, test_v, m, params)
+        n_feat = rd.count()
+        rows = model_row(lr.metrics, "logistic_regression", n_feat).unionByName(
+            model_row(svm.metrics, "linear_svm", n_feat))
+        rows = materialize(rows, "reduced-rows")
     finally:
-        # both models are trained; the written table stays readable, only the cache goes
+        # the written tables stay readable; only the caches go
         train_v.unpersist()
-    n_feat = rd.count()
-    rows = model_row(lr.metrics, "logistic_regression", n_feat).unionByName(
-        model_row(svm.metrics, "linear_svm", n_feat))
+        test_v.unpersist()
     return rows, lr, svm
 
 
