@@ -42,3 +42,20 @@ def test_spread_only_small_scans(spark):
     assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
     assert spread(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+
+
+def test_cap_partitions_merges_without_shuffle(spark):
+    from verbum.session import TRAIN_PARTITIONS_PER_CORE_CONF, cap_partitions
+
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(cores * 10)
+    capped = cap_partitions(many)
+    assert capped.rdd.getNumPartitions() == 3 * cores
+    assert sorted(r.id for r in capped.collect()) == list(range(1000))
+    few = spark.range(10).coalesce(1)
+    assert cap_partitions(few).rdd.getNumPartitions() == 1
+    spark.conf.set(TRAIN_PARTITIONS_PER_CORE_CONF, "1")
+    try:
+        assert cap_partitions(many).rdd.getNumPartitions() == cores
+    finally:
+        spark.conf.unset(TRAIN_PARTITIONS_PER_CORE_CONF)

@@ -33,7 +33,10 @@ from verbum.operators.linear import dot_product
 from verbum.params import Params
 from verbum.session import materialize
 
-PARTIAL_SCHEMA = "pos int, g double, hinge double, gb double"
+# Partial rows: (pos, sum of -y over active documents) for positions 0..K-1,
+# plus two scalar rows keyed by sentinel positions.
+PARTIAL_SCHEMA = "pos int, g double"
+HINGE_POS, GB_POS = -1, -2
 TRACE_SCHEMA = "iter int, cost double, learning_rate double, intercept double, margin double"
 
 
@@ -62,21 +65,15 @@ def _partials_kernel(bw, b: float, k: int):
             if tok.any():
                 s += np.bincount(vals[tok], weights=-y[rows[tok]], minlength=k)
         nz = np.flatnonzero(s)
-        pos = np.append(nz, -1).astype(np.int32)
-        g = np.append(s[nz], 0.0)
-        h = np.zeros(len(pos))
-        h[-1] = hinge
-        gbs = np.zeros(len(pos))
-        gbs[-1] = gb
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(pos), pa.array(g), pa.array(h), pa.array(gbs)],
-            names=["pos", "g", "hinge", "gb"])
+        pos = np.append(nz, [HINGE_POS, GB_POS]).astype(np.int32)
+        g = np.append(s[nz], [hinge, gb])
+        yield pa.RecordBatch.from_arrays([pa.array(pos), pa.array(g)], names=["pos", "g"])
 
     return run
 
 
 # Per-partition partials go straight to the driver (Arrow) only while
-# partitions x (K + 1) stays under this many values; beyond it Spark combines
+# partitions x (K + 2) stays under this many values; beyond it Spark combines
 # them with a keyed aggregate over K positions first.
 DIRECT_COMBINE_MAX_VALUES = 4_000_000
 
@@ -85,14 +82,13 @@ def _iteration_sums(data: DataFrame, bw, b: float, k: int, direct: bool):
     """One pass over the training table: (per-position sum of -y, hinge sum, active y sum)."""
     parts = data.select("y", "idx").mapInArrow(_partials_kernel(bw, b, k), PARTIAL_SCHEMA)
     if not direct:
-        parts = parts.groupBy("pos").agg(F.sum("g").alias("g"), F.sum("hinge").alias("hinge"),
-                                         F.sum("gb").alias("gb"))
+        parts = parts.groupBy("pos").agg(F.sum("g").alias("g"))
     t = parts.toArrow()
     pos = t.column("pos").to_numpy()
     g = t.column("g").to_numpy()
-    scal = pos < 0
-    s = np.bincount(pos[~scal], weights=g[~scal], minlength=k)
-    return s, float(t.column("hinge").to_numpy()[scal].sum()), float(t.column("gb").to_numpy()[scal].sum())
+    keep = pos >= 0
+    s = np.bincount(pos[keep], weights=g[keep], minlength=k)
+    return s, float(g[pos == HINGE_POS].sum()), float(g[pos == GB_POS].sum())
 
 
 @dataclass
@@ -122,7 +118,7 @@ def svm_train(vectors: DataFrame, k: int, params: Params = Params(), train_table
     spark = vectors.sparkSession
     sc = spark.sparkContext
     data = train_table if train_table is not None else materialize(
-        vectors.select(F.col("label").cast("double").alias("y"), "idx"), "svm-train")
+        vectors.select(F.col("label").cast("double").alias("y"), "idx"), "svm-train", iterate=True)
     try:
         n = float(data.count())
         c = n / params.c_divisor
@@ -134,7 +130,7 @@ def svm_train(vectors: DataFrame, k: int, params: Params = Params(), train_table
         converged = False
         if n == 0:
             return SvmModel(w, b, rows, 0, False)
-        direct = data.rdd.getNumPartitions() * (k + 1) <= DIRECT_COMBINE_MAX_VALUES
+        direct = data.rdd.getNumPartitions() * (k + 2) <= DIRECT_COMBINE_MAX_VALUES
         for it in range(1, params.svm_max_iter + 1):
             bw = sc.broadcast(w)
             s, hsum, gbsum = _iteration_sums(data, bw, b, k, direct)

@@ -63,7 +63,7 @@ def run_svm(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: P
 
 
 def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params) -> TaskResult:
-    train = materialize(with_binary_label(train_vectors), "lr-train")
+    train = materialize(with_binary_label(train_vectors), "lr-train", iterate=True)
     try:
         model = lr_train(train, k, params)
     finally:

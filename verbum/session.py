@@ -100,8 +100,32 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``write_and_read`` plus a MEMORY_AND_DISK cache, for inputs read many times."""
+# A table scanned once per training iteration keeps at most this many
+# partitions per core of the cluster, so the task count per iteration (and the
+# per-task partial rows it emits) follows the cluster size, not the data size.
+TRAIN_PARTITIONS_PER_CORE_CONF = "verbum.train.partitionsPerCore"
+DEFAULT_TRAIN_PARTITIONS_PER_CORE = 3
+
+
+def cap_partitions(df: DataFrame) -> DataFrame:
+    """Merge splits (``coalesce``, no shuffle) down to partitionsPerCore x cores."""
+    spark = df.sparkSession
+    per_core = int(spark.conf.get(TRAIN_PARTITIONS_PER_CORE_CONF, str(DEFAULT_TRAIN_PARTITIONS_PER_CORE)))
+    target = max(1, per_core * spark.sparkContext.defaultParallelism)
+    if df.rdd.getNumPartitions() > target:
+        return df.coalesce(target)
+    return df
+
+
+def materialize(df: DataFrame, name: str, iterate: bool = False) -> DataFrame:
+    """``write_and_read`` plus a MEMORY_AND_DISK cache, for inputs read many times.
+
+    ``iterate=True`` marks a table an iterative trainer scans once per
+    iteration: its partitions are capped with ``cap_partitions`` first.
+    """
     from pyspark import StorageLevel
 
-    return write_and_read(df, name).persist(StorageLevel.MEMORY_AND_DISK)
+    back = write_and_read(df, name)
+    if iterate:
+        back = cap_partitions(back)
+    return back.persist(StorageLevel.MEMORY_AND_DISK)
