@@ -55,19 +55,28 @@ def _result(pred: DataFrame, signed: bool, model=None) -> TaskResult:
     return TaskResult(metrics, pred, metrics_report(metrics), model)
 
 
-def run_svm(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params) -> TaskResult:
+def run_svm(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params,
+            written: bool = False) -> TaskResult:
+    """``written=True``: ``train_vectors`` is already a written, cached table (trained on as is)."""
     spark = train_vectors.sparkSession
-    model = svm_train(with_signed_label(train_vectors), k, params)
+    signed = with_signed_label(train_vectors)
+    table = signed.select(F.col("label").cast("double").alias("y"), "idx") if written else None
+    model = svm_train(signed, k, params, train_table=table)
     pred = svm_predict(with_signed_label(test_vectors), model.weights(spark), model.intercept, k)
     return _result(pred, True, model)
 
 
-def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params) -> TaskResult:
-    train = materialize(with_binary_label(train_vectors), "lr-train", iterate=True)
-    try:
-        model = lr_train(train, k, params)
-    finally:
-        train.unpersist()
+def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params,
+           written: bool = False) -> TaskResult:
+    """``written=True``: ``train_vectors`` is already a written, cached table (trained on as is)."""
+    if written:
+        model = lr_train(with_binary_label(train_vectors), k, params)
+    else:
+        train = materialize(with_binary_label(train_vectors), "lr-train", iterate=True)
+        try:
+            model = lr_train(train, k, params)
+        finally:
+            train.unpersist()
     pred = lr_predict(model, with_binary_label(test_vectors), k)
     return _result(pred, False, model)
 
@@ -125,12 +134,12 @@ def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_line
     d = materialized_dictionary(train_lines, params.k)
     rd = materialize(reduced_dictionary(d, coefs, params, weighted), "reduced-dictionary")
     m = params.m
-    # both sides are written once: each model trains on / scores the same tables
-    train_v = materialize(vectors_of(train_lines, rd, m), "reduced-train")
+    # both sides are written once: both models train on / score the same tables
+    train_v = materialize(vectors_of(train_lines, rd, m), "reduced-train", iterate=True)
     test_v = materialize(vectors_of(test_lines, rd, m), "reduced-test")
     try:
-        lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced))
-        svm = run_svm(train_v, test_v, m, params)
+        lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced), written=True)
+        svm = run_svm(train_v, test_v, m, params, written=True)
         n_feat = rd.count()
         rows = model_row(lr.metrics, "logistic_regression", n_feat).unionByName(
             model_row(svm.metrics, "linear_svm", n_feat))
