@@ -21,7 +21,7 @@ from verbum.operators.svm import SvmModel, svm_predict, svm_train
 from verbum.operators.vectors import doc_vectors, with_binary_label, with_signed_label
 from verbum.operators.vocab import build_dictionary, filter_dictionary, reindex_dictionary, word_counts
 from verbum.params import Params
-from verbum.session import materialize
+from verbum.session import cap_partitions, materialize, write_and_read
 from verbum.sources.coefficients import coefficient_report_lines, write_coefficient_report
 
 
@@ -69,14 +69,11 @@ def run_svm(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: P
 def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params,
            written: bool = False) -> TaskResult:
     """``written=True``: ``train_vectors`` is already a written, cached table (trained on as is)."""
-    if written:
-        model = lr_train(with_binary_label(train_vectors), k, params)
-    else:
-        train = materialize(with_binary_label(train_vectors), "lr-train", iterate=True)
-        try:
-            model = lr_train(train, k, params)
-        finally:
-            train.unpersist()
+    # Spark ML caches its own instance blocks for an uncached input, so the
+    # written table is only read once here: written and capped, not cached
+    train = with_binary_label(train_vectors) if written else cap_partitions(
+        write_and_read(with_binary_label(train_vectors), "lr-train"))
+    model = lr_train(train, k, params)
     pred = lr_predict(model, with_binary_label(test_vectors), k)
     return _result(pred, False, model)
 
