@@ -92,7 +92,8 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK, hash_of: Callable[[Col
     identities = text_identities(keyed, block, hash_of).distinct().withColumnsRenamed({"doc_id": "i", "sha": "s"})
     same = F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("sha") == F.col("s"))
     each = cut(rows.join(identities, same).select("doc_id", "sha", "rounds", "name"))
-    groups = each.groupBy("rounds", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Written, so that the join below can split the rows of a large group over several tasks.
+    groups = cut(each.groupBy("rounds", "name").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     return (each.join(groups, ["rounds", "name"])
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.col("sha").alias("text_sha256")))

@@ -8,9 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verbum.llm.blocks import exact_duplicates
 from verbum.llm.common import table
+from verbum.llm.lines import line_report
+from verbum.llm.mixing import mix
+from verbum.llm.packing import pack
+from verbum.llm.quality import quality_scores
 from verbum.llm.simhash import near_duplicates
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("h")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -20,11 +40,35 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_quality": op4_quality,
+    "op6_packing": op6_packing,
     "op7_simhash_neardup": op7_simhash_neardup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": """
+        WITH line AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+            FROM documents),
+        keyed AS (
+            SELECT doc_id, line, pos,
+                   translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM line),
+        held AS (
+            SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10
+            GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+        judged AS (
+            SELECT k.*, h.first_id IS NULL OR h.first_id = k.doc_id AS stays
+            FROM keyed k LEFT JOIN held h ON h.key = k.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept,

@@ -54,15 +54,16 @@ def simhash(data: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp long) for every row of ``docs``; null text counts as empty."""
+    """(doc_id, h, fp) for every row of ``docs``; null text counts as empty; h is the text's xxhash64."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).cast(pa.binary())
-            fps = [simhash(t.as_py() or b"", shingle) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [simhash(t.as_py(), shingle) for t in b.column(2).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64())], ["doc_id", "h", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, fp long")
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def _rotl(x, by: int):
@@ -146,6 +147,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _classes(fps: DataFrame, k: int) -> DataFrame:
+    """(fp, root): the class of every distinct fingerprint."""
+    distinct = cut(fps.select("fp").distinct())
+    roots = components(trie_self_join(distinct, k))
+    return distinct.join(roots, distinct.fp == roots.x, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     """(doc_id, fingerprint, component_id): classes of documents linked by fingerprints at most ``k`` bits apart.
 
@@ -159,10 +167,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     * an empty table gives an empty result; further columns are ignored.
     """
     fps = cut(fingerprints(docs, shingle))
-    least = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(trie_self_join(least, k))
-    named = least.join(roots, least.fp == roots.x, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = named.join(ids, "root").select("fp", "component_id")
+    classes = cut(_classes(fps, k))
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")).join(classes, "fp")
+    ids = least.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    of_fp = cut(classes.join(ids, "root").select("fp", "component_id"))
     return (fps.join(of_fp, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
+    """One row of each class of ``near_duplicates``, with the columns of ``docs``.
+
+    The row with the least doc_id stays (null after all others; of several rows
+    with that id the one whose text has the least xxhash64, of equal rows one).
+    """
+    from pyspark.sql import Window
+
+    fps = cut(fingerprints(docs, shingle))
+    classes = cut(_classes(fps, k))
+    best = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best")).join(classes, "fp")
+    stays = cut(best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.doc_id").alias("i"), F.col("best.h").alias("g")))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    kept = rows.join(stays, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left_semi")
+    one = kept.withColumn("k", F.row_number().over(Window.partitionBy("id", "h").orderBy(F.lit(1)))).filter("k = 1")
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
