@@ -8,17 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from verbum.llm.blocks import exact_duplicates
 from verbum.llm.common import table
+from verbum.llm.fingerprint import fingerprints
 from verbum.llm.lines import line_report
 from verbum.llm.mixing import mix
 from verbum.llm.packing import pack
+from verbum.llm.pii import find_personal_data
 from verbum.llm.quality import quality_scores
 from verbum.llm.simhash import near_duplicates
+from verbum.llm.suffix import repeated_passages
+from verbum.llm.urls import judge_urls
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("h")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
@@ -27,6 +35,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -35,16 +47,28 @@ def op7_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
+    "op5_fingerprint": op5_fingerprint,
     "op6_packing": op6_packing,
     "op7_simhash_neardup": op7_simhash_neardup,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -69,6 +93,24 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
+    "op9_url_filter": """
+        WITH cut AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        part AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+        split AS (
+            SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+            FROM part),
+        rules(rule_host, rule_path, verdict) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        judged AS (
+            SELECT s.page_id, s.host, s.path, r.rule_host || r.rule_path AS rule, r.verdict,
+                   row_number() OVER (PARTITION BY s.page_id ORDER BY length(r.rule_host || r.rule_path) DESC NULLS LAST) AS n
+            FROM split s LEFT JOIN rules r
+              ON (s.host = r.rule_host OR ends_with(s.host, '.' || r.rule_host)) AND starts_with(s.path, r.rule_path))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM judged WHERE n = 1
+    """,
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER w AS kept,
