@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,38 +31,95 @@ from pyspark.sql import functions as F
 
 CAPACITY = 1024
 BLOCK_DOCS = 4096
-CACHE_PIECES, CACHE_CHARS = 400_000, 48
+CACHE_WORDS, CACHE_TOKENS, CACHE_CHARS = 900_000, 400_000, 32  # about 250 MB a worker
 END = np.array([0], "<u4").tobytes()
 
-# A pre-token never runs from a letter, digit or printable ASCII sign over a
-# space, so a text may be cut before such a space and its parts encoded apart.
-_UNSAFE = re.compile(r"(?:^|[^\w!-~]) ")
+# A pre-token never runs from a sign that is not white space over a space, so
+# a text may be cut before such a space and its parts encoded apart.
 _SAFE_SPACE = re.compile(r"(?<=[\w!-~]) ")
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-class Encoder(dict):
-    """Ids of a text as little-endian uint32, by a byte-level BPE file; remembers the ids of frequent words."""
+def _byte_alphabet() -> dict[int, int]:
+    """Byte-level BPE writes a byte as a printable character: itself, or the next free one from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in own]
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
+class PreTokens(dict):
+    """Pre-token to its ids as little-endian uint32."""
+
+    def __init__(self, model):
+        self.tokenize, self.alphabet = model.tokenize, _byte_alphabet()
+        self.space = chr(self.alphabet[0x20])
+
+    def __missing__(self, token: str) -> bytes:
+        if token.isascii() and token[1:].isalpha():  # letters, most with a space before them, stand for themselves
+            written = token.replace(" ", self.space)
+        else:
+            written = token.encode().decode("latin-1").translate(self.alphabet)
+        ids = array("I", [t.id for t in self.tokenize(written)]).tobytes()
+        if len(token) <= CACHE_CHARS:
+            if len(self) >= CACHE_TOKENS:
+                self.clear()
+            self[token] = ids
+        return ids
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+class Words(dict):
+    """A piece of text between spaces to its ids, with ``before`` (a space, or nothing) in front of it."""
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def __init__(self, before: str, split, tokens: PreTokens):
+        self.before, self.split, self.tokens = before, split, tokens
+
+    def whole(self, text: str) -> bytes:
+        tokens = self.tokens
+        return b"".join([tokens[text[lo:hi]] for _, (lo, hi) in self.split(text)]) if text else b""
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._ids(" " + piece)
+        core = piece.rstrip(_SIGNS)
+        if core.isalpha():  # letters and then signs: two pre-tokens, or one
+            ids = self.tokens[self.before + core]
+            if len(core) < len(piece):
+                ids += self.tokens[piece[len(core):]]
+        else:
+            ids = self.whole(self.before + piece)
         if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
+            if len(self) >= CACHE_WORDS:
                 self.clear()
             self[piece] = ids
         return ids
 
+
+class Encoder:
+    """Ids of a text as little-endian uint32, by a byte-level BPE file; remembers the ids of words."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        assert tokenizer.normalizer is None, "texts are encoded as they are"
+        # Special tokens' strings in a text are ordinary text: the steps here do not look for them.
+        split, tokens = tokenizer.pre_tokenizer.pre_tokenize_str, PreTokens(tokenizer.model)
+        self.heads, self.words = Words("", split, tokens), Words(" ", split, tokens)
+        self.newline = self.heads.whole("\n")
+
     def encode(self, text: str) -> bytes:
-        first, *rest = _SAFE_SPACE.split(text) if _UNSAFE.search(text) else text.split(" ")
-        return self._ids(first) + b"".join(map(self.__getitem__, rest))
+        heads, words = self.heads, self.words
+        parts = text.split()
+        gaps = len(parts) - 1
+        if gaps >= 0 and sum(map(len, parts)) + gaps == len(text) and gaps == text.count(" ") + text.count("\n"):
+            # Single spaces and line breaks only: a break after a sign is a pre-token of its own.
+            out = []
+            for line in text.split("\n"):
+                first, *rest = line.split(" ")
+                out.append(self.newline)
+                out.append(heads[first])
+                out += [words[w] for w in rest]
+            return b"".join(out[1:])
+        first, *rest = _SAFE_SPACE.split(text)
+        return heads.whole(first) + b"".join([words[w] for w in rest])
 
 
 _ENCODERS: dict[str, Encoder] = {}
