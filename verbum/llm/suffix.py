@@ -17,7 +17,9 @@ is among the passage's first ``WINDOW`` words.  From there at least
 3. Equal suffixes are extended: for each split of the missing words into some
    to the left and the rest to the right, suffixes that agree on both sides are
    neighbours in the order of that split, and match if two documents hold them.
-   Splits of a hash that lies in several partitions are counted by Spark.
+   Of a hash dealt on by document, splits that one task sees in two documents
+   match at once; it sends one row for each split it saw, and Spark settles
+   those that a task saw in one document only.
 4. A document's matches are merged; kept places lie at most ``WINDOW`` words
    apart, so merged matches reach both ends of a passage.
 """
@@ -97,30 +99,43 @@ def kept_suffixes(rows: DataFrame, min_words: int, window: int, gram: int) -> Da
     return rows.mapInArrow(run, "id long, rh long, hs array<long>, ps array<int>").filter("size(hs) > 0")
 
 
+LEVELS = 64  # a place and its level travel as place * LEVELS + level
+
+
 def _with_context(window: int, seed: int):
-    """(id, rh, text, hs, ps, ns) to a row per suffix with the words on its right and left as bytes, which sort as the words do."""
+    """(id, rh, text, codes) to a row per suffix with the words on its right and left as bytes, which sort as the words do.
+
+    Rows of one id share their codes: a place that is another text's is a suffix like any other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = np.arange(window)
         for b in batches:
-            for i, rh, text, hs, ps, ns in zip(*(c.to_pylist() if k != 2 else c.cast(pa.binary()) for k, c in enumerate(b.columns))):
-                w = (_hashes(text.as_py()) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+            for i, rh, text, codes in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()), b.column(3)):
+                full = _hashes(text.as_py())
+                code = np.array(codes.as_py(), np.int64)
+                code = code[code // LEVELS <= len(full) - seed]
+                if not len(code):
+                    continue
+                p, level = code // LEVELS, code % LEVELS
+                w = (full >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
                 w = np.concatenate((np.full(window, _NO_WORD), w, np.full(window, _NO_WORD)))
-                p = np.array(ps)[:, None] + window
-                right, left = w[p + seed + step], w[p - 1 - step]
+                at = p[:, None] + window
+                right, left = w[at + seed + step], w[at - 1 - step]
                 both = np.ascontiguousarray(np.concatenate((right, left), axis=1).astype(">u4"))
-                n = len(ps)
+                n = len(p)
                 context = pa.Array.from_buffers(pa.binary(8 * window), n, [None, pa.py_buffer(both.tobytes())]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), context, pa.array(np.full(n, i)), pa.array(np.full(n, rh)), pa.array(ps, pa.int32()), pa.array(ns, pa.int64())], ["h", "context", "id", "rh", "p", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_runs(full, seed)[p].view(np.int64)), context, pa.array(np.full(n, i)), pa.array(np.full(n, rh)), pa.array(p.astype(np.int32)), pa.array(level.astype(np.int32))], ["h", "context", "id", "rh", "p", "level"])
 
     return run
 
 
+# A match; or a split (a hash) that one task saw: of one document, to be settled, or of two (lo is null).
 _MATCH = "id long, rh long, lo int, hi int, partner long, split long"
 
 
 def _extend(window: int, min_words: int):
-    """Streams sorted suffixes (h, context, id, rh, p, n); emits matches, and the splits of hashes dealt to several partitions."""
+    """Streams sorted suffixes (h, context, id, rh, p, level); emits matches, and the splits seen of hashes dealt on by document."""
     names = [f.split(" ")[0] for f in _MATCH.split(", ")]
 
     def splits(h, ctx):
@@ -140,16 +155,11 @@ def _extend(window: int, min_words: int):
         return key, l_real & r_real[:, ::-1]
 
     def batch(ids, rh, lo, hi, partner, split):
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rh, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), partner, split], names)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rh, pa.int64()), lo, hi, partner, split], names)
 
-    def work(h, ctx, ids, rh, p, n):
+    def work(h, ctx, ids, rh, p, level):
         key, real = splits(h, ctx)
-        spread = n > HOT
-        row, d = np.nonzero(real & spread[:, None])
-        if len(row):
-            lo = p[row] - d
-            yield batch(ids[row], rh[row], lo, lo + min_words, pa.nulls(len(row), pa.int64()), pa.array(key[row, d].view(np.int64)))
-        row, d = np.nonzero(real & ~spread[:, None])
+        row, d = np.nonzero(real)
         if not len(row):
             return
         k = key[row, d]
@@ -160,6 +170,16 @@ def _extend(window: int, min_words: int):
         least, most = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
         size = np.diff(np.append(first, len(k)))
         good = np.repeat(least != most, size)
+        spread = level[row] > 0
+        two = spread[first] & (least != most)
+        if two.any():
+            seen = first[two]
+            none = pa.nulls(len(seen), pa.int32())
+            yield batch(least[two], rh[row[seen]], none, none, pa.array(most[two]), pa.array(k[seen].view(np.int64)))
+        alone = np.flatnonzero(spread & ~good)
+        if len(alone):
+            lo = p[row[alone]] - d[alone]
+            yield batch(doc[alone], rh[row[alone]], pa.array(lo, pa.int32()), pa.array(lo + min_words, pa.int32()), pa.nulls(len(alone), pa.int64()), pa.array(k[alone].view(np.int64)))
         partner = np.where(doc == np.repeat(least, size), np.repeat(most, size), np.repeat(least, size))
         row, d, partner = row[good], d[good], partner[good]
         if not len(row):
@@ -169,7 +189,8 @@ def _extend(window: int, min_words: int):
         row, d, partner = row[order], d[order], partner[order]
         first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
         at = row[first]
-        yield batch(ids[at], rh[at], p[at] - np.maximum.reduceat(d, first), p[at] - np.minimum.reduceat(d, first) + min_words, pa.array(partner[first]), pa.nulls(len(at), pa.int64()))
+        lo, hi = p[at] - np.maximum.reduceat(d, first), p[at] - np.minimum.reduceat(d, first) + min_words
+        yield batch(ids[at], rh[at], pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(partner[first]), pa.nulls(len(at), pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -184,10 +205,10 @@ def _extend(window: int, min_words: int):
                 continue
             held.append(columns(b))
             rows += b.num_rows
-            if rows >= CHUNK_ROWS:  # whole hashes only; one has HOT rows at most, or is counted later
+            if rows >= CHUNK_ROWS:  # whole hashes only; one has HOT rows at most, or is settled later
                 cols = [np.concatenate(c) for c in zip(*held)]
                 new = np.flatnonzero(cols[0][1:] != cols[0][:-1]) + 1
-                end = int(new[-1]) if len(new) else len(cols[0]) if cols[5][0] > HOT else 0
+                end = int(new[-1]) if len(new) else len(cols[0]) if cols[5][0] > 0 else 0
                 if end:
                     yield from work(*(c[:end] for c in cols))
                 held, rows = ([[c[end:] for c in cols]], len(cols[0]) - end) if end < len(cols[0]) else ([], 0)
@@ -202,21 +223,23 @@ def matched_ranges(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WI
     seed = min_words - window + 1
     rows = _identified(docs)
     suffixes = cut(kept_suffixes(rows, min_words, window, gram))
-    each = suffixes.select("id", "rh", F.explode(F.arrays_zip("hs", "ps")).alias("s")).select("id", "rh", F.col("s.hs").alias("h"), F.col("s.ps").alias("p"))
+    each = suffixes.select("id", F.explode(F.arrays_zip("hs", "ps")).alias("s")).select("id", F.col("s.hs").alias("h"), F.col("s.ps").alias("p"))
     counts = each.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"))
+    level = F.when(F.col("n") > HOT, F.ceil(F.log2(F.col("n") / HOT))).otherwise(F.lit(0)).cast("long")
     # Written, so that the join can split the rows of a frequent hash over several tasks.
-    shared = cut(counts.filter("a < b").select("h", "n"))
-    found = each.join(shared, "h")
+    shared = cut(counts.filter("a < b").select("h", level.alias("level")))
+    found = each.join(shared, "h").select("id", (F.col("p").cast("long") * LEVELS + F.col("level")).alias("code"))
     # A document's group holds at most its own kept suffixes.
-    by_doc = found.groupBy("id", "rh").agg(F.collect_set(F.struct("p", "h", "n")).alias("s"))
-    joined = rows.join(by_doc, ["id", "rh"]).select("id", "rh", "text", F.col("s.h").alias("hs"), F.col("s.p").alias("ps"), F.col("s.n").alias("ns"))
-    context = joined.mapInArrow(_with_context(window, seed), "h long, context binary, id long, rh long, p int, n long")
-    salt = F.when(F.col("n") > HOT, F.pmod(F.xxhash64("id", "p"), F.ceil(F.col("n") / HOT))).otherwise(F.lit(0))
+    by_doc = found.groupBy("id").agg(F.collect_set("code").alias("codes"))
+    joined = rows.join(by_doc, "id").select("id", "rh", "text", "codes")
+    context = joined.mapInArrow(_with_context(window, seed), "h long, context binary, id long, rh long, p int, level int")
+    salt = F.when(F.col("level") > 0, F.pmod(F.xxhash64("id"), F.pow(F.lit(2.0), "level").cast("long"))).otherwise(F.lit(0))
     dealt = context.withColumn("salt", salt).repartition("h", "salt").sortWithinPartitions("h", "context")
-    out = cut(dealt.select("h", "context", "id", "rh", "p", "n").mapInArrow(_extend(window, min_words), _MATCH))
-    open_splits = out.filter("split IS NOT NULL").drop("partner")
-    sides = cut(open_splits.groupBy("split").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b"))
-    late = open_splits.join(sides, "split").withColumn("partner", F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a")))
+    out = cut(dealt.select("h", "context", "id", "rh", "p", "level").mapInArrow(_extend(window, min_words), _MATCH))
+    seen = out.filter("split IS NOT NULL")
+    sides = cut(seen.groupBy("split").agg(F.min("id").alias("a"), F.max(F.coalesce("partner", "id")).alias("b")).filter("a < b"))
+    late = (seen.filter("lo IS NOT NULL").drop("partner").join(sides, "split")
+            .withColumn("partner", F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a"))))
     pick = ["id", "rh", "lo", "hi", "partner"]
     return out.filter("split IS NULL").select(*pick).unionAll(late.select(*pick))
 
