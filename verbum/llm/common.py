@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +27,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_held: dict[str, object] = {}
+
+
+def worker_cache(name: str, make: Callable[[], object]):
+    """What a worker process remembers between tasks; it holds one operator's at a time, as workers serve many."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def word_blocks(data: bytes, size: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 ``data`` in order, one list per about ``size`` bytes."""
     if len(data) <= size:

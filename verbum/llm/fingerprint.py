@@ -24,7 +24,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbum.llm.common import word_blocks
+from verbum.llm.common import word_blocks, worker_cache
 
 SHINGLE, BINS, BITS = 5, 256, 4
 SEED = 42
@@ -49,7 +49,8 @@ class WordHashes(dict):
         return h
 
 
-_WORDS = WordHashes()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(worker_cache("word hashes", WordHashes).__getitem__, words), np.uint64, len(words))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -63,7 +64,7 @@ def shingle_hashes(data: bytes, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
     """Hashes of the word shingles of UTF-8 ``data``, A-Z lower-cased; fewer words: one hash of all; none: nothing."""
     tail, any_shingle = np.zeros(0, np.uint64), False
     for words in word_blocks(data.lower()):
-        w = np.concatenate((tail, np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))))
+        w = np.concatenate((tail, word_hashes(words)))
         n = len(w) - shingle + 1
         if n > 0:
             any_shingle = True

@@ -29,9 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verbum.llm.common import worker_cache
+
 CAPACITY = 1024
 BLOCK_DOCS = 4096
-CACHE_WORDS, CACHE_TOKENS, CACHE_CHARS = 1_600_000, 800_000, 32  # about 450 MB a worker
+CACHE_WORDS, CACHE_TOKENS, CACHE_CHARS = 900_000, 400_000, 32  # about 300 MB a worker
 END = np.array([0], "<u4").tobytes()
 
 # A pre-token never runs from a sign that is not white space over a space, so
@@ -123,13 +125,8 @@ class Encoder:
         return heads.whole(first) + b"".join([words[w] for w in rest])
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return worker_cache(f"packing {path}", lambda: Encoder(path))
 
 
 def powers_of_two(n: int) -> list[int]:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbum.llm.common import word_blocks
+from verbum.llm.common import word_blocks, worker_cache
 
 CORES, SHAPES, DIM, NONZERO = 32_768, 1024, 32, 2
 ROWS = CORES + SHAPES
@@ -58,11 +58,8 @@ class Rows(dict):
         return found
 
 
-_ROWS = Rows()
-
-
 def rows_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    both = np.fromiter(map(_ROWS.__getitem__, words), np.int64, len(words))
+    both = np.fromiter(map(worker_cache("quality", Rows).__getitem__, words), np.int64, len(words))
     return both // SHAPES, both % SHAPES + CORES
 
 

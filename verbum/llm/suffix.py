@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbum.llm.common import cut
-from verbum.llm.fingerprint import _WORDS, mix64
+from verbum.llm.fingerprint import mix64, word_hashes
 
 MIN_WORDS, WINDOW, GRAM = 50, 20, 8
 HOT = 4096
@@ -45,8 +45,7 @@ _MAX_ID = (1 << 63) - 1  # a null doc_id is a document of its own, after all oth
 
 
 def _hashes(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return word_hashes(text.lower().split())
 
 
 def _runs(w: np.ndarray, n: int) -> np.ndarray:
