@@ -33,7 +33,7 @@ from verbum.llm.common import worker_cache
 
 CAPACITY = 1024
 BLOCK_DOCS = 4096
-CACHE_WORDS, CACHE_TOKENS, CACHE_CHARS = 900_000, 400_000, 32  # about 300 MB a worker
+CACHE_WORDS, CACHE_TOKENS, CACHE_CHARS = 1_500_000, 200_000, 32  # about 350 MB a worker
 END = np.array([0], "<u4").tobytes()
 
 # A pre-token never runs from a sign that is not white space over a space, so
@@ -56,12 +56,15 @@ class PreTokens(dict):
         self.tokenize, self.alphabet = model.tokenize, _byte_alphabet()
         self.space = chr(self.alphabet[0x20])
 
-    def __missing__(self, token: str) -> bytes:
+    def ids(self, token: str) -> bytes:
         if token.isascii() and token.isprintable():  # signs and letters stand for themselves
             written = token.replace(" ", self.space)
         else:
             written = token.encode().decode("latin-1").translate(self.alphabet)
-        ids = array("I", [t.id for t in self.tokenize(written)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(written)]).tobytes()
+
+    def __missing__(self, token: str) -> bytes:
+        ids = self.ids(token)
         if len(token) <= CACHE_CHARS:
             if len(self) >= CACHE_TOKENS:
                 self.clear()
@@ -82,9 +85,7 @@ class Words(dict):
     def __missing__(self, piece: str) -> bytes:
         core = piece.rstrip(_SIGNS)
         if core.isalpha():  # letters and then signs: two pre-tokens, or one
-            ids = self.tokens[self.before + core]
-            if len(core) < len(piece):
-                ids += self.tokens[piece[len(core):]]
+            ids = self.tokens.ids(self.before + core) if len(core) == len(piece) else self[core] + self.tokens[piece[len(core):]]
         else:
             ids = self.whole(self.before + piece)
         if len(piece) <= CACHE_CHARS:
