@@ -256,6 +256,22 @@ def build() -> dict[str, str]:
     q["sample_features_uniform"] = with_(DICT, f"SELECT pos FROM dict ORDER BY {u_expr('pos')}, pos LIMIT {M}")
     q["filter_dictionary"] = with_(SELECTED_W, "SELECT word, pos FROM dict_kept")
     q["reindex_dictionary"] = with_(SELECTED_W, "SELECT word, pos FROM rdict")
+    # K beyond the vocabulary: the whole word list, coefficients pos % 97 for its positions only
+    q["reduced_dictionary_short_vocabulary"] = with_([
+        *DICT[:-1],
+        """dict AS (SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word) - 1 AS INTEGER) AS pos FROM counts)""",
+        """norm AS (SELECT pos, (pos % 97 - (SELECT min(pos % 97) FROM dict)) * CAST(1 AS DOUBLE)
+      / (SELECT max(pos % 97) - min(pos % 97) FROM dict) AS p FROM dict)""",
+        f"""selected AS (SELECT pos FROM norm ORDER BY CASE WHEN p > 0 THEN -ln({u_expr('pos')}) / p END NULLS LAST, {u_expr('pos')}, pos LIMIT 12000)""",
+    ], "SELECT word, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS pos FROM dict WHERE pos IN (SELECT pos FROM selected)")
+    q["lr_train_optimum"] = with_([
+        *DICT[:-1],
+        """dict AS (SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word) - 1 AS INTEGER) AS pos
+  FROM (SELECT word, n FROM counts ORDER BY n DESC, word LIMIT 5))""",
+        pairs_cte("pairs_train", "train"),
+        "held AS (SELECT DISTINCT doc_key, pos FROM pairs_train)",
+    ], """SELECT pos, CAST(sum(quality) AS DOUBLE) AS fitted, count(*) AS n
+FROM held JOIN labels ON substr(doc_key, 3) = CAST(doc_id AS VARCHAR) GROUP BY pos""")
     q["reduced_feature_vectors"] = with_(REDUCED, "SELECT doc_key, idx FROM rvec_train")
 
     # cost / gradients at the first-step model = iteration 2 of the unrolled loop

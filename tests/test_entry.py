@@ -1,19 +1,14 @@
 """Driver contract: entry smoke, registry consistency, and oracle agreement on the small fixture."""
 
-import os
-
 import duckdb
 import pytest
 
 import __spark_entry__ as E
-from verbum.plans.catalog import ROWS_ONLY
+from oracle.sql import ORACLE_SQL
+from verbum.plans.catalog import QUERIES, ROWS_ONLY
 
 from conftest import SF001
 
-FAST = ["scan_corpus", "tokenize", "word_counts", "build_dictionary", "binary_vectors", "tf_vectors",
-        "doc_position_lists", "svm_train", "svm_training_trace", "svm_predict", "f1_score", "metrics_report",
-        "sample_features_weighted", "top_coefficient_words", "hinge_gradient"]
-
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
@@ -24,7 +19,7 @@ def test_entry_smoke(spark):
 def test_registry():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == ROWS_ONLY
+    assert set(QUERIES) - set(s) == ROWS_ONLY
 
 
 def _norm(v):
@@ -40,13 +35,11 @@ def _rows(cols, recs):
     return sorted((tuple(_norm(r[i]) for i in order) for r in recs), key=repr)
 
 
-NAMES = list(E.oracle_sql()) if os.environ.get("VERBUM_FULL_ORACLE") else FAST
-
-
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle_agreement(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF001}/documents.parquet')")
+    for table in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF001}/{table}.parquet')")
     df = E.queries()[name](spark, SF001)
     res = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]

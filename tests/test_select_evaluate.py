@@ -18,9 +18,9 @@ def test_coefficient_report_round_trip(spark, tmp_path):
     w = spark.createDataFrame([(0, 0.25), (1, -1.5e-07), (2, 3.0)], "pos int, weight double")
     d = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "word string, pos int")
     top = sl.top_coefficient_words(w.withColumnRenamed("weight", "coef"), d, 3, 2)
-    path = co.write_coefficient_report(co.coefficient_report_lines(w, top, 1.5), str(tmp_path / "rep"))
+    path = co.write_coefficient_report(co.coefficient_report_lines(w, top, 1.5, 5), str(tmp_path / "rep"))
     lines = [r.value for r in spark.read.text(path).collect()]
-    assert lines[0].startswith("Top 5 Words") and lines[1] == "(c, 3.0, 2)" and lines[-1].startswith("[")
+    assert lines[0].startswith("5 words") and lines[1] == "(c, 3.0, 2)" and lines[-1].startswith("[")
     got = [(r.pos, r.coef) for r in co.load_coefficients(spark, path).orderBy("pos").collect()]
     assert got == [(0, 0.25), (1, -1.5e-07), (2, 3.0)]
 
@@ -71,3 +71,32 @@ def test_report_sink_single_file(spark, tmp_path):
     assert lines == ["F1 score for classifier = 99.60 %", "Number of True Positives = 374",
                      "Number of False Positives = 0", "Number of False Negatives = 3",
                      "Number of True Negatives = 18347"]
+
+
+def test_short_vocabulary_gives_all_its_words(spark):
+    """K coefficients, fewer words: exactly min(m, words) positions, none of them without a word."""
+    from verbum.params import Params
+    from verbum.plans.tasks import reduced_dictionary
+
+    words = spark.createDataFrame([(f"w{i}", i) for i in range(20)], "word string, pos int")
+    coefs = spark.range(100).selectExpr("CAST(id AS INT) AS pos", "CAST(id % 7 AS DOUBLE) AS coef")
+    for m in (5, 19, 20, 50):
+        got = reduced_dictionary(words, coefs, Params(k=100, m=m, seed=1)).collect()
+        assert len(got) == min(m, 20) and sorted(r.pos for r in got) == list(range(min(m, 20)))
+
+
+def test_coefficient_line_refuses_gaps(spark):
+    import pytest
+
+    ok = spark.createDataFrame([(1, 2.0), (0, 1.0)], "pos int, weight double")
+    assert co.coefficient_list_line(ok).first().value == "[1.0, 2.0]"
+    for bad in ([(0, 1.0), (2, 1.0)], [(0, None), (1, 1.0)], [(0, 1.0), (0, 2.0)]):
+        with pytest.raises(Exception, match="gap"):
+            co.coefficient_list_line(spark.createDataFrame(bad, "pos int, weight double")).collect()
+
+
+def test_report_lines_stay_in_order_for_any_top_n(spark):
+    w = spark.range(150).selectExpr("CAST(id AS INT) AS pos", "CAST(id AS DOUBLE) AS weight")
+    top = spark.range(120).selectExpr("CAST(id AS INT) AS rank", "concat('w', id) AS word", "1.0D AS coef", "CAST(id AS INT) AS pos")
+    lines = [r.value for r in co.coefficient_report_lines(w, top, 0.5, 120).orderBy("ord").collect()]
+    assert [x[:3] for x in lines[1:121]] == [f"(w{i}"[:3] for i in range(120)] and lines[-1].startswith("[0.0, 1.0")

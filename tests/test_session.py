@@ -1,9 +1,11 @@
-"""Size-checked broadcast and small-scan spreading."""
+"""Bounded broadcast, written tables, explicit partition counts."""
+
+import pytest
 
 from verbum.operators import parse as ps
 from verbum.operators import vocab as vc
 from verbum.operators.vectors import doc_vectors
-from verbum.session import BROADCAST_MAX_ROWS_CONF, bounded_broadcast, spread
+from verbum.session import BROADCAST_MAX_ROWS_CONF, materialize
 from verbum.sources.corpus import TRAIN, fixture_corpus
 
 from conftest import SF001
@@ -19,43 +21,21 @@ def test_broadcast_only_within_bound(spark):
     small = doc_vectors(toks, d, 1000)
     assert "BroadcastHashJoin" in _plan(small)
     spark.conf.set(BROADCAST_MAX_ROWS_CONF, "10")
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        big = doc_vectors(toks, d, 1000)
-        assert "BroadcastHashJoin" not in _plan(big) and "SortMergeJoin" in _plan(big)
-        assert {(r.doc_key, tuple(r.idx)) for r in big.collect()} == {(r.doc_key, tuple(r.idx)) for r in small.collect()}
+        with pytest.raises(ValueError, match="maxRows"):
+            doc_vectors(toks, d, 1000)
     finally:
         spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_bounded_broadcast_hint(spark):
-    df = spark.range(5)
-    assert "broadcast" in bounded_broadcast(df, 5)._jdf.queryExecution().analyzed().toString().lower()
-
 
-def test_spread_only_small_scans(spark):
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert spread(many).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
 
-
-def test_cap_partitions_merges_without_shuffle(spark):
-    from verbum.session import TRAIN_PARTITIONS_PER_CORE_CONF, cap_partitions
-
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(1000).repartition(cores * 10)
-    capped = cap_partitions(many)
-    assert capped.rdd.getNumPartitions() == 3 * cores
-    assert sorted(r.id for r in capped.collect()) == list(range(1000))
-    few = spark.range(10).coalesce(1)
-    assert cap_partitions(few).rdd.getNumPartitions() == 1
-    spark.conf.set(TRAIN_PARTITIONS_PER_CORE_CONF, "1")
+def test_written_tables_keep_their_partitions(spark):
+    back = materialize(spark.range(1000).repartition(7), "parts")
     try:
-        assert cap_partitions(many).rdd.getNumPartitions() == cores
+        assert "Coalesce" not in _plan(back) and "Exchange" not in _plan(back) and back.count() == 1000
     finally:
-        spark.conf.unset(TRAIN_PARTITIONS_PER_CORE_CONF)
+        back.unpersist()
+
+
+def test_scans_are_dealt_out_on_request_only(spark):
+    assert "Exchange" not in _plan(fixture_corpus(spark, SF001))
+    assert fixture_corpus(spark, SF001, partitions=5).rdd.getNumPartitions() == 5

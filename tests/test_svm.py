@@ -3,7 +3,6 @@
 import numpy as np
 import pytest
 
-from verbum.operators import svm as svm_mod
 from verbum.operators.svm import svm_early_stop, svm_predict, svm_train
 from verbum.operators.vectors import with_signed_label
 from verbum.params import FIXTURE_PARAMS as P
@@ -78,12 +77,12 @@ def test_first_step_is_rate_times_mean_yx(spark, fixture_vectors):
     assert np.allclose(model.w, P.svm_rate * (y[:, None] * X).mean(axis=0), atol=1e-15)
 
 
-def test_shuffle_combine_equals_direct_combine(spark, fixture_vectors, monkeypatch):
+def test_model_does_not_depend_on_partitions(spark, fixture_vectors):
     tr, _ = fixture_vectors
-    a = svm_train(tr, P.k, P)
-    monkeypatch.setattr(svm_mod, "DIRECT_COMBINE_MAX_VALUES", 0)
-    b = svm_train(tr, P.k, P)
-    assert np.allclose(a.w, b.w, atol=1e-12) and abs(a.intercept - b.intercept) < 1e-12
+    table = tr.selectExpr("CAST(label AS DOUBLE) AS y", "idx")
+    models = [svm_train(tr, P.k, P, train_table=table.repartition(n)) for n in (1, 4, 64)]
+    for m in models[1:]:
+        assert np.allclose(models[0].w, m.w, atol=1e-12) and abs(models[0].intercept - m.intercept) < 1e-12
 
 
 def test_early_stop(spark, fixture_vectors):

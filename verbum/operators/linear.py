@@ -39,8 +39,8 @@ def dot_product(vectors: DataFrame, weights: DataFrame, k: int) -> DataFrame:
     """``(doc_key, label, score)`` with score = w.x.
 
     Explode -> broadcast hash join with the K-row weight table -> aggregate per
-    document.  The vectors are already clustered by ``doc_key``, so the
-    aggregate adds no shuffle.
+    document: one shuffle by ``doc_key`` for vectors that were written and read
+    back, none for vectors still clustered by it.
     """
     ex = vectors.select("doc_key", "label", F.explode("idx").alias("pos"))
     j = ex.join(bounded_broadcast(weights.select("pos", "weight"), k), "pos", "inner")

@@ -25,6 +25,11 @@ def minmax_normalize(coefs: DataFrame) -> DataFrame:
     return coefs.select("pos", "coef", F.try_divide(F.col("coef") - mn, mx - mn).alias("p"))
 
 
+def known_positions(coefs: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
+    """The coefficients whose position a dictionary word has."""
+    return coefs.join(bounded_broadcast(dictionary.select("pos"), k), "pos", "left_semi")
+
+
 def sample_features_uniform(positions: DataFrame, m: int, seed: int) -> DataFrame:
     """m of the positions without replacement, uniformly: the m smallest seeded keys."""
     u = seeded_uniform(seed, F.col("pos"))
@@ -37,12 +42,12 @@ def sample_features_weighted(normalized: DataFrame, m: int, seed: int) -> DataFr
 
     Efraimidis-Spirakis: key = -ln(u) / p, keep the m smallest keys; this has
     the distribution of m successive weighted draws.  Positions with p = 0 (or
-    NULL) are never drawn.
+    NULL) are taken, uniformly, only when fewer than m others are there.
     """
     u = seeded_uniform(seed, F.col("pos"))
-    key = -F.log(u) / F.col("p")
-    return (normalized.where(F.col("p") > 0).select("pos", key.alias("key"))
-            .orderBy("key", "pos").limit(m).select(F.col("pos").cast("int").alias("pos")))
+    key = F.when(F.col("p") > 0, -F.log(u) / F.col("p"))
+    return (normalized.select("pos", key.alias("key"), u.alias("u"))
+            .orderBy(F.asc_nulls_last("key"), "u", "pos").limit(m).select(F.col("pos").cast("int").alias("pos")))
 
 
 def select_top_features(coefs: DataFrame, n: int = 5) -> DataFrame:
@@ -52,7 +57,7 @@ def select_top_features(coefs: DataFrame, n: int = 5) -> DataFrame:
 
 def top_coefficient_words(coefs: DataFrame, dictionary: DataFrame, k: int, n: int = 5) -> DataFrame:
     """``(rank, word, coef, pos)`` for the n largest coefficients."""
-    top = select_top_features(coefs, n)
+    top = select_top_features(known_positions(coefs, dictionary, k), n)
     j = top.join(bounded_broadcast(dictionary.select("word", "pos"), k), "pos", "inner")
     w = Window.orderBy(F.col("coef").desc(), F.col("pos").asc())
     return j.select((F.row_number().over(w) - 1).cast("int").alias("rank"), "word", "coef", "pos")

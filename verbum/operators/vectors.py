@@ -67,12 +67,6 @@ def binary_vectors(positions: DataFrame) -> DataFrame:
     return distinct.groupBy("doc_key").agg(F.array_sort(F.collect_list("pos")).alias("idx"))
 
 
-def binary_vectors_from_tf(tf: DataFrame) -> DataFrame:
-    """Presence from TF rows (``tf > 0``), same result as ``binary_vectors``."""
-    return (tf.where(F.col("tf") > 0).groupBy("doc_key")
-            .agg(F.array_sort(F.collect_set("pos")).alias("idx")))
-
-
 def doc_vectors(tokens: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:
     """Tokens -> presence vectors.
 

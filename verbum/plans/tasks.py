@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from verbum.operators.evaluate import confusion_matrix, confusion_matrix_signed, f1_score, metrics_report, model_row
 from verbum.operators.logreg import lr_predict, lr_train
 from verbum.operators.parse import corpus_tokens
-from verbum.operators.select import (minmax_normalize, sample_features_uniform, sample_features_weighted,
+from verbum.operators.select import (known_positions, minmax_normalize, sample_features_uniform, sample_features_weighted,
                                      top_coefficient_words)
 from verbum.operators.svm import SvmModel, svm_predict, svm_train
 from verbum.operators.vectors import doc_vectors, with_binary_label, with_signed_label
 from verbum.operators.vocab import build_dictionary, filter_dictionary, reindex_dictionary, word_counts
 from verbum.params import Params
-from verbum.session import cap_partitions, materialize, write_and_read
+from verbum.session import materialize, write_and_read
 from verbum.sources.coefficients import coefficient_report_lines, write_coefficient_report
 
 
@@ -70,9 +70,8 @@ def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Pa
            written: bool = False) -> TaskResult:
     """``written=True``: ``train_vectors`` is already a written, cached table (trained on as is)."""
     # Spark ML caches its own instance blocks for an uncached input, so the
-    # written table is only read once here: written and capped, not cached
-    train = with_binary_label(train_vectors) if written else cap_partitions(
-        write_and_read(with_binary_label(train_vectors), "lr-train"))
+    # written table is only read once here: written, not cached
+    train = with_binary_label(train_vectors) if written else write_and_read(with_binary_label(train_vectors), "lr-train")
     model = lr_train(train, k, params)
     pred = lr_predict(model, with_binary_label(test_vectors), k)
     return _result(pred, False, model)
@@ -102,12 +101,18 @@ def write_svm_coefficients(result: TaskResult, params: Params, path: str) -> str
     w = model.weights(spark)
     top = top_coefficient_words(w.withColumnRenamed("weight", "coef"), result.dictionary, params.k, params.top_n)
     cost = model.trace_rows[-1][1] if model.trace_rows else None
-    return write_coefficient_report(coefficient_report_lines(w, top, cost), path)
+    return write_coefficient_report(coefficient_report_lines(w, top, cost, params.top_n), path)
 
 
 def select_positions(coefs: DataFrame | None, dictionary: DataFrame, params: Params, weighted: bool = True) -> DataFrame:
-    """m positions: weighted by min-max normalised coefficients, or uniform."""
+    """m positions: weighted by min-max normalised coefficients, or uniform.
+
+    A coefficient report holds K values even if the dictionary is shorter; only
+    positions that a word has are normalised and drawn, so the result has
+    min(m, dictionary size) positions.
+    """
     if weighted:
+        coefs = known_positions(coefs, dictionary, params.k)
         return sample_features_weighted(minmax_normalize(coefs), params.m, params.seed)
     return sample_features_uniform(dictionary.select("pos"), params.m, params.seed)
 
@@ -118,13 +123,6 @@ def reduced_dictionary(dictionary: DataFrame, coefs: DataFrame | None, params: P
     return reindex_dictionary(filter_dictionary(dictionary, sel, params.m))
 
 
-def reduced_feature_vectors(train_lines: DataFrame, dictionary: DataFrame, coefs: DataFrame | None,
-                                  params: Params, weighted: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Returns ``(reduced dictionary, training vectors over m features)``."""
-    rd = reduced_dictionary(dictionary, coefs, params, weighted)
-    return rd, vectors_of(train_lines, rd, params.m)
-
-
 def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_lines: DataFrame,
                       params: Params = Params(), weighted: bool = True) -> tuple[DataFrame, TaskResult, TaskResult]:
     """LR and SVM on the reduced dictionary; returns (comparison rows, LR result, SVM result)."""
@@ -132,7 +130,7 @@ def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_line
     rd = materialize(reduced_dictionary(d, coefs, params, weighted), "reduced-dictionary")
     m = params.m
     # both sides are written once: both models train on / score the same tables
-    train_v = materialize(vectors_of(train_lines, rd, m), "reduced-train", iterate=True)
+    train_v = materialize(vectors_of(train_lines, rd, m), "reduced-train")
     test_v = materialize(vectors_of(test_lines, rd, m), "reduced-test")
     try:
         lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced), written=True)
@@ -148,11 +146,6 @@ def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_line
     return rows, lr, svm
 
 
-def svm_model_summary(model: SvmModel, spark) -> DataFrame:
-    return spark.createDataFrame([(model.iterations, model.converged, model.intercept, model.n)],
-                                 "iterations int, converged boolean, intercept double, n bigint")
-
-
 def round_doubles(df: DataFrame, digits: int = 9) -> DataFrame:
     """Round every double column (cross-engine comparison of floating sums)."""
     cols = []

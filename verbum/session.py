@@ -1,4 +1,4 @@
-"""Session helpers: builder, reliable checkpoint folder, size-checked broadcast."""
+"""Session helpers: builder, reliable checkpoint folder, bounded broadcast, written tables."""
 
 from __future__ import annotations
 
@@ -9,9 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest number of rows we hand to ``broadcast()``.  Every broadcast in the
-# library is of a table whose row count is bounded by a parameter (K, m),
-# never by the data; above this bound the join falls back to a shuffle join.
+# Largest number of rows a parameter (K, m) may give a table that is broadcast.
+# A larger K or m is refused: the token stream is never shuffled for a dictionary.
 BROADCAST_MAX_ROWS_CONF = "verbum.broadcast.maxRows"
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
@@ -63,29 +62,14 @@ def broadcast_max_rows(spark: SparkSession) -> int:
 
 
 def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is provably at most the limit.
+    """``df`` marked for broadcast; ``row_bound`` is the parameter (K, m) that bounds its rows.
 
-    ``row_bound`` is the caller's proof: an upper bound that follows from a
-    parameter (e.g. the dictionary holds at most K rows).  Beyond the limit the
-    plain DataFrame is returned and Spark plans a shuffle join (AQE may still
-    convert it at run time from measured sizes).
+    Raises ``ValueError`` if the parameter is above ``verbum.broadcast.maxRows``.
     """
-    if row_bound <= broadcast_max_rows(df.sparkSession):
-        return F.broadcast(df)
-    return df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster's cores when it has fewer splits than cores.
-
-    A large corpus arrives in many file splits and is left alone (no shuffle);
-    a small file with one row group would otherwise run the whole text front
-    end in a single task.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    most = broadcast_max_rows(df.sparkSession)
+    if row_bound > most:
+        raise ValueError(f"a dictionary of {row_bound} rows exceeds {BROADCAST_MAX_ROWS_CONF} = {most}")
+    return F.broadcast(df)
 
 
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
@@ -100,32 +84,12 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# A table scanned once per training iteration keeps at most this many
-# partitions per core of the cluster, so the task count per iteration (and the
-# per-task partial rows it emits) follows the cluster size, not the data size.
-TRAIN_PARTITIONS_PER_CORE_CONF = "verbum.train.partitionsPerCore"
-DEFAULT_TRAIN_PARTITIONS_PER_CORE = 3
-
-
-def cap_partitions(df: DataFrame) -> DataFrame:
-    """Merge splits (``coalesce``, no shuffle) down to partitionsPerCore x cores."""
-    spark = df.sparkSession
-    per_core = int(spark.conf.get(TRAIN_PARTITIONS_PER_CORE_CONF, str(DEFAULT_TRAIN_PARTITIONS_PER_CORE)))
-    target = max(1, per_core * spark.sparkContext.defaultParallelism)
-    if df.rdd.getNumPartitions() > target:
-        return df.coalesce(target)
-    return df
-
-
-def materialize(df: DataFrame, name: str, iterate: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """``write_and_read`` plus a MEMORY_AND_DISK cache, for inputs read many times.
 
-    ``iterate=True`` marks a table an iterative trainer scans once per
-    iteration: its partitions are capped with ``cap_partitions`` first.
+    The table is read back in splits of ``spark.sql.files.maxPartitionBytes``,
+    so its partitions are sized by bytes, whatever the cluster.
     """
     from pyspark import StorageLevel
 
-    back = write_and_read(df, name)
-    if iterate:
-        back = cap_partitions(back)
-    return back.persist(StorageLevel.MEMORY_AND_DISK)
+    return write_and_read(df, name).persist(StorageLevel.MEMORY_AND_DISK)

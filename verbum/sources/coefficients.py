@@ -11,10 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed heading texts of the coefficient report.
-TOP_HEADING = "Top 5 Words with the largest regression coefficients:"
-COST_LABEL = "Final Cost:"
-LIST_HEADING = "Final Regression Coeffients:"
+COST_LABEL = "cost after the last step:"
+LIST_HEADING = "all coefficients by position:"
 
 
 def split_list_line(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -42,26 +40,30 @@ def coefficient_list_line(weights: DataFrame, pos: str = "pos", value: str = "we
     """One row ``value = '[w0, w1, ...]'`` ordered by position.
 
     The weight table holds one row per dictionary position (at most K rows),
-    so the single line is bounded by the dictionary size.
+    so the single line is bounded by the dictionary size.  Positions must run
+    from 0 without a gap and weights must not be null, as the reader counts
+    places; otherwise the query fails.
     """
     ordered = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))))
     items = F.transform(ordered, lambda s: s["v"].cast("string"))
-    return weights.agg(F.concat(F.lit("["), F.concat_ws(", ", items), F.lit("]")).alias("value"))
+    whole = (F.count(value) == F.count(F.lit(1))) & (F.count_distinct(pos) == F.count(F.lit(1))) & (F.coalesce(F.max(pos) + 1, F.lit(0)) == F.count(F.lit(1)))
+    line = F.concat(F.lit("["), F.concat_ws(", ", items), F.lit("]"))
+    return weights.agg(F.when(whole, line).otherwise(F.raise_error(F.lit("coefficients have a gap"))).alias("value"))
 
 
-def coefficient_report_lines(weights: DataFrame, top_words: DataFrame, final_cost: float | None) -> DataFrame:
+def coefficient_report_lines(weights: DataFrame, top_words: DataFrame, final_cost: float | None, top_n: int) -> DataFrame:
     """Report rows ``(ord int, value string)``: heading, top words, cost, list.
 
-    ``top_words`` is ``(rank, word, coef, pos)`` with fewer than 100 rows.
+    ``top_words`` is ``(rank, word, coef, pos)`` with at most ``top_n`` rows.
     """
     spark = weights.sparkSession
     tw = top_words.select(
         (F.col("rank") + F.lit(1)).cast("int").alias("ord"),
         F.format_string("(%s, %s, %d)", F.col("word"), F.col("coef").cast("string"), F.col("pos")).alias("value"))
     fixed = spark.createDataFrame(
-        [(0, TOP_HEADING), (100, ""), (101, f"{COST_LABEL} {final_cost}"), (102, ""), (103, LIST_HEADING)],
+        [(0, f"{top_n} words of the largest coefficients:"), (top_n + 1, ""), (top_n + 2, f"{COST_LABEL} {final_cost}"), (top_n + 3, ""), (top_n + 4, LIST_HEADING)],
         "ord int, value string")
-    lst = coefficient_list_line(weights).select(F.lit(104).alias("ord"), "value")
+    lst = coefficient_list_line(weights).select(F.lit(top_n + 5).alias("ord"), "value")
     return fixed.unionByName(tw).unionByName(lst)
 
 

@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbum.session import spread
-
 TRAIN = "train"
 TEST = "test"
 ALL = "all"
@@ -28,9 +26,14 @@ NO_URL_MOD, NO_URL_REM = 50, 7
 TEST_MOD, TEST_REM = 5, 0
 
 
-def scan_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per text line: ``value string``."""
-    return spread(spark.read.text(path))
+def scan_corpus(spark: SparkSession, path: str | list[str], partitions: int | None = None) -> DataFrame:
+    """One row per text line: ``value string``.
+
+    Splits follow ``spark.sql.files.maxPartitionBytes``; ``partitions`` deals
+    the lines out anew, for a small input in too few splits.
+    """
+    lines = spark.read.text(path)
+    return lines if partitions is None else lines.repartition(partitions)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +60,10 @@ def documents_as_lines(documents: DataFrame, side: str = ALL) -> DataFrame:
     return documents.select(value.alias("value"))
 
 
-def fixture_corpus(spark: SparkSession, sf_dir: str, side: str = ALL) -> DataFrame:
-    """Corpus lines built from ``{sf_dir}/documents.parquet``."""
-    return documents_as_lines(spread(read_table(spark, sf_dir, "documents")), side)
+def fixture_corpus(spark: SparkSession, sf_dir: str, side: str = ALL, partitions: int | None = None) -> DataFrame:
+    """Corpus lines built from ``{sf_dir}/documents.parquet``; ``partitions`` as in ``scan_corpus``."""
+    documents = read_table(spark, sf_dir, "documents")
+    return documents_as_lines(documents if partitions is None else documents.repartition(partitions), side)
 
 
 def range_source(spark: SparkSession, k: int, limit_col=None) -> DataFrame:
