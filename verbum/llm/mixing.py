@@ -31,7 +31,7 @@ from verbum.llm.common import cut
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
 MOST_COPIES = 2
-LEAF, FAN = 32_768, 64
+LEAF, FAN = 4096, 64
 MOST_BROADCAST_SOURCES = 20_000
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
