@@ -40,6 +40,9 @@ def test_disguises_map_back_to_the_source(spark):
              ("ask аlice@exаmple.com ok", "аlice@exаmple.com"), ("ｊｏｅ＠ｅｘａｍｐｌｅ．ｃｏｍ", "ｊｏｅ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
              ("call plus one five five five one two three four five six seven please", "plus one five five five one two three four five six seven"),
              ("ip one nine two dot one six eight dot zero dot one", "one nine two dot one six eight dot zero dot one"),
+             ("dial +1 415 five five five 0123 today", "+1 415 five five five 0123"), ("or + four nine three zero double one 234 56", "+ four nine three zero double one 234 56"),
+             ("card four one one one 1111 1111 one one one one, 2024", "four one one one 1111 1111 one one one one"),
+             ("at 10 one two three, 2024 five", None),
              ("look at example.com and the dot matrix", None), ("we saw one two three four things at home", None), (None, None), ("", None)]
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)] + [(None, "a@b.c"), (None, "a@b.c")], KIND).withColumn("spans", F.lit(1))
     got = pii.find_personal_data(docs).collect()

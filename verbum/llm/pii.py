@@ -158,18 +158,21 @@ _SPELLED = {
 _NUMBER = "|".join(sorted(_SPELLED, key=len, reverse=True))
 _POINT = r"(?:[\x20]?[\[({<][\x20]?(?:dot|punkt|point|punto|\.)[\x20]?[\])}>][\x20]?|[\x20](?:dot|punkt|point|punto)[\x20])"
 _GAP = r"[\x20,-]{1,2}"
-_ITEM = rf"(?:{_NUMBER}|[0-9])"
+_MANY = {"double": 2, "triple": 3}
+_SPOKEN = rf"(?:(?:{'|'.join(_MANY)})\x20)?(?:{_NUMBER})"
+# Groups of digits may stand between spelled ones, though not after a comma.
+_ITEM = rf"(?:{_SPOKEN}|[0-9]|(?<!,)(?<!,\x20)[0-9]{{2,19}})"
 _MIN_SPELLED = 4
-# "plus" may open a run; a run has at least four spelled digits or digits, of them one spelled.
-_RUN = re.compile(rf"(?i)(?<!\w)(?:(plus)\x20)?({_ITEM}(?:(?:{_GAP}|{_POINT}){_ITEM}){{{_MIN_SPELLED - 1},}})(?!\w)")
-_IN_RUN = re.compile(rf"(?i)(?P<n>{_NUMBER})|(?P<d>[0-9])|(?P<p>{_POINT})")
+# "plus" or its sign may open a run; a run has at least four items, of them one spelled.
+_RUN = re.compile(rf"(?i)(?<!\w)(?:(plus|\+)\x20)?({_ITEM}(?:(?:{_GAP}|{_POINT}){_ITEM}){{{_MIN_SPELLED - 1},}})(?!\w)")
+_IN_RUN = re.compile(rf"(?i)(?:(?P<m>{'|'.join(_MANY)})\x20)?(?P<n>{_NUMBER})|(?P<d>[0-9]+)|(?P<p>{_POINT})")
 
 
 def _digits(m: re.Match) -> str | None:
     found = list(_IN_RUN.finditer(m[2]))
     if not any(x["n"] for x in found):
         return None
-    out = "".join(_SPELLED[x["n"].lower()] if x["n"] else x["d"] or "." for x in found)
+    out = "".join(_SPELLED[x["n"].lower()] * _MANY.get((x["m"] or "").lower(), 1) if x["n"] else x["d"] or "." for x in found)
     return ("+" if m[1] else "") + out
 
 
@@ -186,8 +189,9 @@ def _sign(m: re.Match) -> str:
 
 # Texts that no transducer changes do not match this.
 _POINT_RE2 = r"[\[({<] ?(dot|punkt|point|punto|\.|at|@|arroba|arobase) ?[\])}>]| (dot|punkt|point|punto) | @ "
+_ANY_RE2 = rf"({_NUMBER}|[0-9]+)[ ,-]{{1,2}}"
 TRIGGER = (r"(?i)[^\x00-\x7f\x{c0}-\x{24f}]|" + _POINT_RE2
-           + rf"|({_NUMBER}|[0-9])([ ,-]{{1,2}})({_NUMBER}|[0-9])([ ,-]{{1,2}})({_NUMBER})|({_NUMBER})([ ,-]{{1,2}})({_NUMBER}|[0-9])([ ,-]{{1,2}})({_NUMBER}|[0-9])")
+           + rf"|{_ANY_RE2}{_ANY_RE2}({_NUMBER})|({_NUMBER})[ ,-]{{1,2}}{_ANY_RE2}({_NUMBER}|[0-9])|({'|'.join(_MANY)}) ({_NUMBER})")
 
 
 def disguised_spans(text: str, base: list[Span]) -> list[Span]:
