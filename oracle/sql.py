@@ -27,11 +27,12 @@ def D(x) -> str:
 
 # ------------------------------------------------------------------ front end
 
-def lines_cte(name: str, where: str) -> str:
+def lines_cte(name: str, where: str, missing_url: bool = False) -> str:
+    gap = "CASE WHEN doc_id % 50 = 7 THEN '' ELSE " if missing_url else "("
+    end = "END" if missing_url else ")"
     return rf"""{name} AS (
   SELECT '<doc id="' || (CASE WHEN lang = 'de' THEN 'AU' ELSE 'WK' END) || CAST(doc_id AS VARCHAR) || '"'
-      || (CASE WHEN doc_id % 50 = 7 THEN ''
-               ELSE ' url="http://' || source || '/' || CAST(doc_id AS VARCHAR) || '"' END)
+      || {gap}' url="http://' || source || '/' || CAST(doc_id AS VARCHAR) || '"' {end}
       || ' title="t">' || replace(replace(text, chr(13), ' '), chr(10), ' ') || '</doc>' AS value
   FROM documents {where})"""
 
@@ -63,6 +64,9 @@ def front(side: str) -> list[str]:
             tokens_cte(f"tokens_{side}", f"docs_{side}")]
 
 
+# Lines of which some lack url=, for the queries on the line filter and the parsers.
+SOME_WITHOUT_URL = [lines_cte("lines_all", "", missing_url=True), docs_cte("docs_all", "lines_all")]
+
 DICT = [
     *front("train"),
     """counts AS (SELECT word, count(*) AS n FROM (SELECT unnest(words) AS word FROM tokens_train) GROUP BY word)""",
@@ -142,6 +146,11 @@ def svm_ctes(p: str, dictionary: str, vpos: str, signed: str, iters: int, rate:
     return out
 
 
+def both(ctes: list[str], body: str) -> str:
+    """``body`` of the training and of the test side; {side} in it is the side's name."""
+    return with_(ctes, " UNION ALL ".join(f"SELECT *, '{side}' AS side FROM ({body.format(side=side)})" for side in ("train", "test")))
+
+
 def with_(ctes: list[str], body: str) -> str:
     seen, uniq = set(), []
     for c in ctes:
@@ -151,6 +160,7 @@ def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(uniq) + "\n" + body
 
 
+BOTH_VECTORS = TRAIN_VECTORS + TEST_VECTORS
 SVM5 = TRAIN_VECTORS + svm_ctes("s_", "dict", "vpos_train", "sgn_train", ITERS, RATE, TOL)
 STEP1 = TRAIN_VECTORS + svm_ctes("f_", "dict", "vpos_train", "sgn_train", 1, RATE, TOL)
 
@@ -211,11 +221,11 @@ def _r(c: str, alias: str | None = None) -> str:
 
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["scan_corpus"] = with_(front("all"), "SELECT value FROM lines_all WHERE value IS NOT NULL")
-    q["valid_doc_lines"] = with_(front("all"),
+    q["scan_corpus"] = with_(SOME_WITHOUT_URL, "SELECT value FROM lines_all WHERE value IS NOT NULL")
+    q["valid_doc_lines"] = with_(SOME_WITHOUT_URL,
                                  "SELECT value FROM lines_all WHERE contains(value, 'id') AND contains(value, 'url=')")
-    q["extract_doc_id"] = with_(front("all"), "SELECT doc_key FROM docs_all")
-    q["extract_doc_text"] = with_(front("all"), "SELECT doc_key, body FROM docs_all")
+    q["extract_doc_id"] = with_(SOME_WITHOUT_URL, "SELECT doc_key FROM docs_all")
+    q["extract_doc_text"] = with_(SOME_WITHOUT_URL, "SELECT doc_key, body FROM docs_all")
     q["normalize_text"] = with_(front("all"),
                                 "SELECT doc_key, lower(regexp_replace(body, '[^a-zA-Z]', ' ', 'g')) AS text FROM docs_all")
     q["tokenize"] = with_(front("all"), "SELECT doc_key, words FROM tokens_all")
@@ -229,18 +239,18 @@ def build() -> dict[str, str]:
     q["dictionary_join"] = with_(TRAIN_VECTORS, "SELECT doc_key, word, pos FROM pairs_train")
     q["dictionary_join_test"] = with_(DICT + front("test") + [pairs_cte("pairs_test", "test")],
                                       "SELECT doc_key, word, pos FROM pairs_test")
-    q["doc_positions"] = with_(TRAIN_VECTORS, "SELECT doc_key, pos FROM pairs_train")
-    q["doc_position_lists"] = with_(TRAIN_VECTORS, """SELECT doc_key, list(pos ORDER BY pos) AS idx, list(n ORDER BY pos) AS cnt
-  FROM (SELECT doc_key, pos, count(*) AS n FROM pairs_train GROUP BY doc_key, pos) GROUP BY doc_key""")
-    q["tf_vectors"] = with_(TRAIN_VECTORS, f"""SELECT doc_key, pos, {_r('n / sum(n) OVER (PARTITION BY doc_key)', 'tf')}
-  FROM (SELECT doc_key, pos, {D('count(*)')} AS n FROM pairs_train GROUP BY doc_key, pos)""")
-    q["binary_vectors"] = with_(TRAIN_VECTORS, "SELECT doc_key, idx FROM vec_train")
+    q["doc_positions"] = both(BOTH_VECTORS, "SELECT doc_key, pos FROM pairs_{side}")
+    q["doc_position_lists"] = both(BOTH_VECTORS, """SELECT doc_key, list(pos ORDER BY pos) AS idx, list(n ORDER BY pos) AS cnt
+  FROM (SELECT doc_key, pos, count(*) AS n FROM pairs_{side} GROUP BY doc_key, pos) GROUP BY doc_key""")
+    q["tf_vectors"] = both(BOTH_VECTORS, f"""SELECT doc_key, pos, {_r('n / sum(n) OVER (PARTITION BY doc_key)', 'tf')}
+  FROM (SELECT doc_key, pos, {D('count(*)')} AS n FROM pairs_{{side}} GROUP BY doc_key, pos)""")
+    q["binary_vectors"] = both(BOTH_VECTORS, "SELECT doc_key, idx FROM vec_{side}")
     q["training_row_count"] = with_(TRAIN_VECTORS, "SELECT count(*) AS n FROM vec_train")
-    q["label_binary"] = with_(TRAIN_VECTORS,
-                              "SELECT doc_key, CASE WHEN starts_with(doc_key, 'AU') THEN 1 ELSE 0 END AS label FROM vec_train")
-    q["label_signed"] = with_(TRAIN_VECTORS, "SELECT doc_key, label FROM sgn_train")
-    q["labeled_points"] = with_(TRAIN_VECTORS,
-                                "SELECT doc_key, CASE WHEN starts_with(doc_key, 'AU') THEN 1 ELSE 0 END AS label, idx FROM vec_train")
+    q["label_binary"] = both(BOTH_VECTORS,
+                              "SELECT doc_key, CASE WHEN starts_with(doc_key, 'AU') THEN 1 ELSE 0 END AS label FROM vec_{side}")
+    q["label_signed"] = both(BOTH_VECTORS, "SELECT doc_key, label FROM sgn_{side}")
+    q["labeled_points"] = both(BOTH_VECTORS,
+                                "SELECT doc_key, CASE WHEN starts_with(doc_key, 'AU') THEN 1 ELSE 0 END AS label, idx FROM vec_{side}")
 
     # one SVM step from zero, and quantities at that model
     q["svm_step"] = with_(STEP1, f"SELECT pos, {_r('w', 'weight')}, {_r('(SELECT b FROM f_st1)', 'intercept')} FROM f_w1")
@@ -272,7 +282,8 @@ def build() -> dict[str, str]:
         "held AS (SELECT DISTINCT doc_key, pos FROM pairs_train)",
     ], """SELECT pos, CAST(sum(quality) AS DOUBLE) AS fitted, count(*) AS n
 FROM held JOIN labels ON substr(doc_key, 3) = CAST(doc_id AS VARCHAR) GROUP BY pos""")
-    q["reduced_feature_vectors"] = with_(REDUCED, "SELECT doc_key, idx FROM rvec_train")
+    reduced_test = front("test") + [pairs_cte("rpairs_test", "test", "rdict"), vectors_cte("rvec_test", "rpairs_test")]
+    q["reduced_feature_vectors"] = both(REDUCED + reduced_test, "SELECT doc_key, idx FROM rvec_{side}")
 
     # cost / gradients at the first-step model = iteration 2 of the unrolled loop
     two = TRAIN_VECTORS + svm_ctes("f_", "dict", "vpos_train", "sgn_train", 2, RATE, TOL)
@@ -326,6 +337,19 @@ FROM held JOIN labels ON substr(doc_key, 3) = CAST(doc_id AS VARCHAR) GROUP BY p
   SELECT 'linear_svm_full' AS model, {K} AS n_features, tp, fp, fn, tn, f1_pct FROM svm_metrics
   UNION ALL
   SELECT 'linear_svm_reduced', {M}, tp, fp, fn, tn, f1_pct FROM rsvm_metrics""")
+    q["comparison_report"] = with_(SVM_PRED + red, " UNION ALL ".join(
+        f"""SELECT unnest(['{model} on {n} words', 'F1 score for classifier = ' || (CASE WHEN f1_pct IS NULL THEN 'undefined' ELSE printf('%.2f', f1_pct) END) || ' %',
+    'Number of True Positives = ' || tp, 'Number of False Positives = ' || fp, 'Number of False Negatives = ' || fn, 'Number of True Negatives = ' || tn]) AS line FROM {table}"""
+        for model, n, table in (("linear_svm_full", K, "svm_metrics"), ("linear_svm_reduced", M, "rsvm_metrics"))))
+
+    # what holds of logistic regressions on separable data, whatever their weights
+    q["lr_predict_documents"] = with_(DICT + TEST_VECTORS, "SELECT doc_key, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label, true AS sound FROM sgn_test")
+    q["lr_training_confusion"] = with_(REDUCED, " UNION ALL ".join(
+        f"SELECT '{name}' AS words, count_if(label = 1) AS tp, 0 AS fp, 0 AS fn, count_if(label = -1) AS tn FROM {table}"
+        for name, table in (("full", "sgn_train"), ("reduced", "rsgn_train"))))
+    q["model_comparison_totals"] = with_(REDUCED + TEST_VECTORS + reduced_test + [signed_cte("rsgn_test", "rvec_test")], " UNION ALL ".join(
+        f"SELECT '{model}_{name}' AS model, {n} AS n_features, count(*) AS n_docs, count_if(label = 1) AS n_positive FROM {table}"
+        for model in ("logistic_regression", "linear_svm") for name, n, table in (("full", K, "sgn_test"), ("reduced", M, "rsgn_test"))))
     return q
 
 

@@ -2,10 +2,16 @@
 
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from verbum.operators import parse as ps
 from verbum.operators import vocab as vc
-from verbum.operators.linear import dot_product
-from verbum.operators.vectors import binary_vectors, doc_position_lists, tf_vectors
+from verbum.operators.linear import dot_product, hinge_gradient
+from verbum.operators.logreg import lr_score
+from verbum.operators.svm import svm_predict
+from verbum.operators.vectors import binary_vectors, doc_position_lists, doc_vectors, tf_vectors
+from verbum.session import write_and_read
 from verbum.sources.corpus import TRAIN, fixture_corpus
 
 from conftest import SF001
@@ -28,12 +34,59 @@ def test_dictionary_plan_partial_agg_then_take_ordered(spark):
     assert plan.index("Window") < plan.index("TakeOrderedAndProject")
 
 
-def test_scoring_broadcasts_bounded_weights(spark):
-    vec = spark.createDataFrame([("a", 1, [0, 2]), ("b", -1, [1])], "doc_key string, label int, idx array<int>")
-    w = spark.createDataFrame([(0, 0.5), (1, -1.0), (2, 2.0)], "pos int, weight double")
+def _exchanges(df):
+    """Shuffles of the main plan; those of subqueries (K-row weight tables) and broadcasts are left out."""
+    found, inside = [], None
+    for line in _plan(df).splitlines():
+        name = line.lstrip(" :+-")
+        depth = len(line) - len(name)
+        if inside is not None and depth > inside:
+            continue
+        inside = depth if name.startswith("Subquery") else None
+        if name.startswith("Exchange"):
+            found.append(name.split("(")[0])
+    return found
+
+
+def _model(spark):
+    vec = spark.createDataFrame([("a", 1, [0, 2]), ("b", -1, [1]), ("c", 1, [])], "doc_key string, label int, idx array<int>")
+    return vec, spark.createDataFrame([(2, 2.0), (0, 0.5), (1, -1.0)], "pos int, weight double")
+
+
+def test_scoring_shuffles_no_documents(spark):
+    vec, w = _model(spark)
     s = dot_product(vec, w, 3)
-    assert "BroadcastHashJoin" in _plan(s)
     assert {r.doc_key: r.score for r in s.collect()} == {"a": 2.5, "b": -1.0}
+    for df in (s, svm_predict(vec, w, 0.0, 3), lr_score(vec, w, 3)):
+        assert _exchanges(df) == []
+
+
+def test_scoring_refuses_weights_with_a_gap(spark):
+    vec, w = _model(spark)
+    for bad in (w.where("pos <> 1"), w.withColumn("weight", F.when(F.col("pos") > 0, F.col("weight")))):
+        with pytest.raises(Exception, match="gap"):
+            dot_product(vec, bad, 3).collect()
+
+
+def test_gradient_shuffles_positions_once(spark):
+    vec, w = _model(spark)
+    g = hinge_gradient(vec, w, 0.0, 3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _exchanges(hinge_gradient(vec, w, 0.0, 3))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one of the K weights and one of the data, both by position
+    assert plan == ["Exchange hashpartitioning"] * 2
+    assert {r.pos: round(r.grad, 12) for r in g.collect()} == {0: 0.0, 1: 0.0, 2: 0.0}
+    zero = w.withColumn("weight", F.lit(0.0))
+    assert {r.pos: r.grad for r in hinge_gradient(vec, zero, 0.0, 3).collect()} == {0: -1 / 3, 1: 1 / 3, 2: -1 / 3}
+
+
+def test_presence_vectors_shuffle_once(spark):
+    toks = ps.corpus_tokens(fixture_corpus(spark, SF001, TRAIN))
+    d = write_and_read(vc.build_dictionary(vc.word_counts(toks), 1000), "dictionary")
+    assert _exchanges(doc_vectors(toks, d, 1000)) == ["Exchange hashpartitioning"]
 
 
 def test_hot_document_key_matches_brute_force(spark):

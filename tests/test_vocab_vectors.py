@@ -53,7 +53,7 @@ def test_reindex_dictionary_keeps_position_order(spark):
 
 
 def test_fixture_properties(spark):
-    train = fixture_corpus(spark, SF001, TRAIN)
+    train = fixture_corpus(spark, SF001, TRAIN, missing_url=True)
     d = tk.dictionary_of(train, 1000)
     pos = vx.doc_positions(vx.dictionary_join(ps.word_doc_pairs(ps.corpus_tokens(train)), d, 1000))
     tf = vx.tf_vectors(pos)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,11 +55,25 @@ COUNT_LINES = ("Number of True Positives", "Number of False Positives",
                "Number of False Negatives", "Number of True Negatives")
 
 
+def _metric_lines() -> list:
+    f1 = F.when(F.col("f1_pct").isNull(), F.lit("undefined")).otherwise(F.format_string("%.2f", F.col("f1_pct")))
+    counts = [F.concat(F.lit(label + " = "), F.col(c).cast("string")) for label, c in zip(COUNT_LINES, ("tp", "fp", "fn", "tn"))]
+    return [F.concat(F.lit(F1_LINE), f1, F.lit(" %")), *counts]
+
+
 def metrics_report(metrics: DataFrame) -> DataFrame:
     """``(ord int, line string)`` rows from one metrics row (about ten lines, bounded)."""
-    f1 = F.when(F.col("f1_pct").isNull(), F.lit("undefined")).otherwise(F.format_string("%.2f", F.col("f1_pct")))
-    lines = [F.concat(F.lit(F1_LINE), f1, F.lit(" %"))]
-    for label, c in zip(COUNT_LINES, ("tp", "fp", "fn", "tn")):
-        lines.append(F.concat(F.lit(label + " = "), F.col(c).cast("string")))
-    arr = F.array(*[F.struct(F.lit(i + 1).alias("ord"), ln.alias("line")) for i, ln in enumerate(lines)])
+    arr = F.array(*[F.struct(F.lit(i + 1).alias("ord"), ln.alias("line")) for i, ln in enumerate(_metric_lines())])
     return metrics.select(F.inline(arr))
+
+
+def comparison_report(rows: DataFrame) -> DataFrame:
+    """``(ord int, line string)``: a section per row of ``model_row``, by name of the model.
+
+    One row a model, so the ranking window is bounded.
+    """
+    heading = F.concat(F.col("model"), F.lit(" on "), F.col("n_features").cast("string"), F.lit(" words"))
+    parts = [heading, *_metric_lines()]
+    first = (F.row_number().over(Window.orderBy("model", "n_features")) - 1) * len(parts)
+    arr = F.array(*[F.struct((F.col("_first") + i + 1).alias("ord"), ln.alias("line")) for i, ln in enumerate(parts)])
+    return rows.withColumn("_first", first).select(F.inline(arr))

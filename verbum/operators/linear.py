@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbum.session import bounded_broadcast
+from verbum.session import check_bound
 
 
 def _lit(x) -> Column:
@@ -35,16 +35,32 @@ def reg_constant(n: Column, c_divisor: float) -> Column:
     return n / F.lit(float(c_divisor))
 
 
-def dot_product(vectors: DataFrame, weights: DataFrame, k: int) -> DataFrame:
-    """``(doc_key, label, score)`` with score = w.x.
+def weight_array(weights: DataFrame, k: int) -> Column:
+    """The weights in order of position as one array (at most K doubles), a scalar subquery.
+
+    Positions must run from 0 without a gap and weights must not be null;
+    otherwise the query fails.
+    """
+    check_bound(weights.sparkSession, k)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "weight"))), lambda s: s["weight"].cast("double"))
+    whole = ((F.count("weight") == F.count(F.lit(1))) & (F.count_distinct("pos") == F.count(F.lit(1)))
+             & (F.coalesce(F.max("pos") + 1, F.lit(0)) == F.count(F.lit(1))))
+    return weights.agg(F.when(whole, ordered).otherwise(F.raise_error(F.lit("weights have a gap"))).alias("w")).scalar()
+
 
-    Explode -> broadcast hash join with the K-row weight table -> aggregate per
-    document: one shuffle by ``doc_key`` for vectors that were written and read
-    back, none for vectors still clustered by it.
+def scored(vectors: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """``vectors`` with ``score`` = w.x; documents without positions are left out.
+
+    Evaluated row by row against the array of weights: no explode, no shuffle.
     """
-    ex = vectors.select("doc_key", "label", F.explode("idx").alias("pos"))
-    j = ex.join(bounded_broadcast(weights.select("pos", "weight"), k), "pos", "inner")
-    return j.groupBy("doc_key", "label").agg(F.sum("weight").alias("score"))
+    v = vectors.where(F.size("idx") > 0).withColumn("_w", weight_array(weights, k))
+    score = F.aggregate("idx", F.lit(0.0), lambda acc, p: acc + F.coalesce(F.get("_w", p), F.lit(0.0)))
+    return v.withColumn("score", score).drop("_w")
+
+
+def dot_product(vectors: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """``(doc_key, label, score)`` with score = w.x; no shuffle of the documents."""
+    return scored(vectors, weights, k).select("doc_key", "label", "score")
 
 
 def weight_norm_margin(weights: DataFrame) -> DataFrame:
@@ -55,9 +71,9 @@ def weight_norm_margin(weights: DataFrame) -> DataFrame:
 
 
 def margins(vectors: DataFrame, weights: DataFrame, intercept, k: int) -> DataFrame:
-    """``(doc_key, label, score, margin)`` with margin = w.x - b."""
-    s = dot_product(vectors, weights, k)
-    return s.select("doc_key", "label", "score", (F.col("score") - _lit(intercept)).alias("margin"))
+    """``(doc_key, label, idx, score, margin)`` with margin = w.x - b."""
+    s = scored(vectors, weights, k)
+    return s.select("doc_key", "label", "idx", "score", (F.col("score") - _lit(intercept)).alias("margin"))
 
 
 def _active() -> Column:
@@ -82,15 +98,14 @@ def hinge_gradient(vectors: DataFrame, weights: DataFrame, intercept, k: int,
                    c_divisor: float = 1e16) -> DataFrame:
     """``(pos, grad)``: ``(1/n) * sum over active docs of -y x  +  (2/n * C) * w``.
 
-    A document is active when ``y(w.x - b) < 1``.  Per-position sums are a
-    partial + final aggregate keyed by position (K keys), not one reducer.
+    A document is active when ``y(w.x - b) < 1``.  The positions of the active
+    rows are exploded once and summed by a partial + final aggregate keyed by
+    position (K keys): one shuffle of the data.
     """
     n = row_count(vectors)
     c = reg_constant(n, c_divisor)
     m = margins(vectors, weights, intercept, k).where(_active())
-    act = m.select("doc_key", (-F.col("label")).alias("g"))
-    ex = vectors.select("doc_key", F.explode("idx").alias("pos"))
-    s = ex.join(act, "doc_key", "inner").groupBy("pos").agg(F.sum("g").alias("s"))
+    s = m.select(F.explode("idx").alias("pos"), (-F.col("label")).alias("g")).groupBy("pos").agg(F.sum("g").alias("s"))
     return (weights.join(s, "pos", "left")
             .select("pos", ((F.lit(1.0) / n) * F.coalesce(F.col("s").cast("double"), F.lit(0.0))
                             + (F.lit(2.0) / n * c) * F.col("weight")).alias("grad")))

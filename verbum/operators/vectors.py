@@ -58,13 +58,11 @@ def tf_vectors(positions: DataFrame) -> DataFrame:
 def binary_vectors(positions: DataFrame) -> DataFrame:
     """``(doc_key, idx array<int>)``: ascending distinct positions (presence vector).
 
-    Two aggregates keep every group small even when one document id holds a
-    large share of all rows: distinct ``(doc_key, pos)`` first (a hot document
-    spreads over its K positions, map-side de-duplicated), then one collect
-    per document over at most K rows in total.
+    One shuffle by ``doc_key``: a task collects the distinct positions of a
+    document before it sends them, so a document id that a third of all rows
+    hold ships at most K positions per task.
     """
-    distinct = positions.select("doc_key", "pos").distinct()
-    return distinct.groupBy("doc_key").agg(F.array_sort(F.collect_list("pos")).alias("idx"))
+    return positions.groupBy("doc_key").agg(F.array_sort(F.collect_set("pos")).alias("idx"))
 
 
 def doc_vectors(tokens: DataFrame, dictionary: DataFrame, k: int) -> DataFrame:

@@ -3,8 +3,9 @@
 Every query reads ``documents`` through the corpus-line adapter (FIXTURES.md
 section 4).  The training side is ``doc_id % 5 <> 0``, the held-out test side
 ``doc_id % 5 = 0``; queries of training operators read the training side alone,
-those of scoring read both.  The adapter leaves out ``url=`` in one line of
-fifty, which the line filter then drops.  Parameters are ``FIXTURE_PARAMS`` (K = 1000,
+those of vectors and labels return both, with the column ``side``.  Only the
+queries on scanning, the line filter and the parsers of a line read lines of which some lack
+``url=``; all others get every text.  Parameters are ``FIXTURE_PARAMS`` (K = 1000,
 m = 500, SVM rate 0.05 and 5 iterations).  Floating outputs are rounded to 9
 decimals so that they compare across engines.
 """
@@ -29,6 +30,7 @@ from verbum.plans import tasks as tk
 from verbum.plans.tasks import round_doubles
 from verbum.session import scratch_path, write_and_read
 from verbum.sources import coefficients as co
+from verbum.sources.report import write_report
 from verbum.sources.corpus import ALL, TEST, TRAIN, fixture_corpus, range_source, read_table, scan_corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +55,9 @@ class _Fx:
     def lines(self, side=ALL):
         return fixture_corpus(self.spark, self.sf, side)
 
+    def lines_some_without_url(self):
+        return fixture_corpus(self.spark, self.sf, missing_url=True)
+
     def train_tokens(self):
         return ps.corpus_tokens(self.lines(TRAIN))
 
@@ -106,6 +111,11 @@ class _Fx:
             self.dictionary(), self.coefficients() if weighted else None, P, weighted), "reduced-dictionary"))
 
 
+def _both(make: Callable[[str], DataFrame]) -> DataFrame:
+    """``make`` of the training and of the test side, told apart by ``side``."""
+    return make(TRAIN).withColumn("side", F.lit(TRAIN)).unionByName(make(TEST).withColumn("side", F.lit(TEST)))
+
+
 def _metrics_cols(df):
     return df.select("tp", "fp", "fn", "tn", "precision", "recall", "f1", "f1_pct")
 
@@ -115,7 +125,7 @@ def _metrics_cols(df):
 def q_scan_corpus(spark, sf):
     fx = _Fx(spark, sf)
     path = scratch_path(spark, "corpus")
-    fx.lines().write.text(path)
+    fx.lines_some_without_url().write.text(path)
     return scan_corpus(spark, path)
 
 
@@ -137,17 +147,17 @@ def q_metrics_report(spark, sf):
 
 def q_valid_doc_lines(spark, sf):
     fx = _Fx(spark, sf)
-    return ps.valid_doc_lines(fx.lines())
+    return ps.valid_doc_lines(fx.lines_some_without_url())
 
 
 def q_extract_doc_id(spark, sf):
     fx = _Fx(spark, sf)
-    return ps.extract_doc_id(fx.lines())
+    return ps.extract_doc_id(fx.lines_some_without_url())
 
 
 def q_extract_doc_text(spark, sf):
     fx = _Fx(spark, sf)
-    return ps.parse_documents(fx.lines())
+    return ps.parse_documents(fx.lines_some_without_url())
 
 
 def q_normalize_text(spark, sf):
@@ -172,22 +182,22 @@ def q_word_doc_pairs(spark, sf):
 
 def q_doc_positions(spark, sf):
     fx = _Fx(spark, sf)
-    return vx.doc_positions(fx.joined(TRAIN))
+    return _both(lambda side: vx.doc_positions(fx.joined(side)))
 
 
 def q_label_binary(spark, sf):
     fx = _Fx(spark, sf)
-    return vx.with_binary_label(fx.vectors(TRAIN)).select("doc_key", "label")
+    return _both(lambda side: vx.with_binary_label(fx.vectors(side)).select("doc_key", "label"))
 
 
 def q_label_signed(spark, sf):
     fx = _Fx(spark, sf)
-    return fx.signed(TRAIN).select("doc_key", "label")
+    return _both(lambda side: fx.signed(side).select("doc_key", "label"))
 
 
 def q_labeled_points(spark, sf):
     fx = _Fx(spark, sf)
-    return vx.labeled_points(fx.vectors(TRAIN), signed=False)
+    return _both(lambda side: vx.labeled_points(fx.vectors(side), signed=False))
 
 
 def q_split_list_line(spark, sf):
@@ -218,17 +228,17 @@ def q_word_counts(spark, sf):
 
 def q_doc_position_lists(spark, sf):
     fx = _Fx(spark, sf)
-    return vx.doc_position_lists(vx.doc_positions(fx.joined(TRAIN)))
+    return _both(lambda side: vx.doc_position_lists(vx.doc_positions(fx.joined(side))))
 
 
 def q_tf_vectors(spark, sf):
     fx = _Fx(spark, sf)
-    return round_doubles(vx.tf_vectors(vx.doc_positions(fx.joined(TRAIN))))
+    return _both(lambda side: round_doubles(vx.tf_vectors(vx.doc_positions(fx.joined(side)))))
 
 
 def q_binary_vectors(spark, sf):
     fx = _Fx(spark, sf)
-    return vx.binary_vectors(vx.doc_positions(fx.joined(TRAIN)))
+    return _both(lambda side: vx.binary_vectors(vx.doc_positions(fx.joined(side))))
 
 
 def q_training_row_count(spark, sf):
@@ -306,7 +316,7 @@ def q_minmax_normalize(spark, sf):
 def q_reduced_feature_vectors(spark, sf):
     fx = _Fx(spark, sf)
     rd = fx.reduced(True)
-    return tk.vectors_of(fx.lines(TRAIN), rd, P.m)
+    return _both(lambda side: tk.vectors_of(fx.lines(side), rd, P.m))
 
 
 # More positions than any vocabulary of the tables, and a coefficient for each.
@@ -423,9 +433,9 @@ def q_svm_model_comparison(spark, sf):
 def q_model_comparison(spark, sf):
     fx = _Fx(spark, sf)
     tr_lines, te_lines = fx.lines(TRAIN), fx.lines(TEST)
-    svm_full = tk.task_svm_full(tr_lines, te_lines, P)
-    lr_full = tk.task_lr_full(tr_lines, te_lines, P)
-    rows, _, _ = tk.task_reduced_both(tr_lines, fx.coefficients(), te_lines, P)
+    svm_full = tk.task_svm_full(tr_lines, te_lines, P, fx.dictionary())
+    lr_full = tk.task_lr_full(tr_lines, te_lines, P, fx.dictionary())
+    rows, _, _ = tk.task_reduced_both(tr_lines, fx.coefficients(), te_lines, P, dictionary=fx.dictionary())
     return ev.model_comparison([
         ev.model_row(lr_full.metrics, "logistic_regression_full", P.k),
         ev.model_row(svm_full.metrics, "linear_svm_full", P.k),
@@ -447,10 +457,41 @@ def q_task_svm_full(spark, sf):
 
 def q_task_reduced_both(spark, sf):
     fx = _Fx(spark, sf)
-    rows, _, _ = tk.task_reduced_both(fx.lines(TRAIN), fx.coefficients(), fx.lines(TEST), P)
+    rows, _, _ = tk.task_reduced_both(fx.lines(TRAIN), fx.coefficients(), fx.lines(TEST), P, dictionary=fx.dictionary())
     return rows
 
 
+def q_comparison_report(spark, sf):
+    """The report of both SVMs, written by the sink and read back."""
+    path = scratch_path(spark, "comparison-report")
+    write_report(ev.comparison_report(q_svm_model_comparison(spark, sf)), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def q_lr_predict_documents(spark, sf):
+    """What holds of every prediction: a document of the test side, its label, a class that follows from its probability."""
+    pred = q_lr_predict(spark, sf)
+    p = F.col("probability")
+    return pred.select("doc_key", "label", (p.between(0, 1) & ((p > 0.5) == (F.col("prediction") == 1))).alias("sound"))
+
+
+def q_lr_training_confusion(spark, sf):
+    """The fit on its own training side, which its words separate: no errors, on all words and on the reduced ones."""
+    fx = _Fx(spark, sf)
+    out = []
+    for name, vectors, k in (("full", fx.vectors(TRAIN), P.k), ("reduced", tk.vectors_of(fx.lines(TRAIN), fx.reduced(True), P.m), P.m)):
+        v = write_and_read(vx.with_binary_label(vectors), f"lr-{name}")
+        pred = lr_predict(lr_train(v, k, P.with_(lr_max_iter=100)), v, k)
+        out.append(ev.confusion_matrix(pred).select(F.lit(name).alias("words"), "*"))
+    return out[0].unionByName(out[1])
+
+
+def q_model_comparison_totals(spark, sf):
+    """Of each of the four models: features, documents scored and those of them with the positive label."""
+    return q_model_comparison(spark, sf).select(
+        "model", "n_features", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_docs"), (F.col("tp") + F.col("fn")).alias("n_positive"))
+
+
 QUERIES: dict[str, Query] = {
     "scan_corpus": q_scan_corpus,
     "load_coefficients": q_load_coefficients,
@@ -510,7 +551,12 @@ QUERIES: dict[str, Query] = {
     "task_reduced_both": q_task_reduced_both,
     "reduced_dictionary_short_vocabulary": q_reduced_dictionary_short_vocabulary,
     "lr_train_optimum": q_lr_train_optimum,
+    "lr_predict_documents": q_lr_predict_documents,
+    "lr_training_confusion": q_lr_training_confusion,
+    "model_comparison_totals": q_model_comparison_totals,
+    "comparison_report": q_comparison_report,
 }
 
-# Queries checked by row count only; what SQL can state of the fit itself is in lr_train_optimum.
+# Queries checked by row count only; what SQL can state of them is in lr_train_optimum,
+# lr_predict_documents, lr_training_confusion and model_comparison_totals.
 ROWS_ONLY = {"lr_train", "lr_predict", "model_comparison", "task_lr_full", "task_reduced_both"}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbum.operators.evaluate import confusion_matrix, confusion_matrix_signed, f1_score, metrics_report, model_row
-from verbum.operators.logreg import lr_predict, lr_train
+from verbum.operators.logreg import lr_predict, lr_train, lr_weights
 from verbum.operators.parse import corpus_tokens
 from verbum.operators.select import (known_positions, minmax_normalize, sample_features_uniform, sample_features_weighted,
                                      top_coefficient_words)
@@ -77,31 +77,45 @@ def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Pa
     return _result(pred, False, model)
 
 
-def task_svm_full(train_lines: DataFrame, test_lines: DataFrame, params: Params = Params()) -> TaskResult:
-    d = materialized_dictionary(train_lines, params.k)
+def task_svm_full(train_lines: DataFrame, test_lines: DataFrame, params: Params = Params(),
+                  dictionary: DataFrame | None = None) -> TaskResult:
+    """``dictionary``: the written dictionary of the training side, if there is one already."""
+    d = dictionary if dictionary is not None else materialized_dictionary(train_lines, params.k)
     r = run_svm(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params)
     r.dictionary = d
     return r
 
 
-def task_lr_full(train_lines: DataFrame, test_lines: DataFrame, params: Params = Params()) -> TaskResult:
-    d = materialized_dictionary(train_lines, params.k)
+def task_lr_full(train_lines: DataFrame, test_lines: DataFrame, params: Params = Params(),
+                 dictionary: DataFrame | None = None) -> TaskResult:
+    """``dictionary`` as in ``task_svm_full``."""
+    d = dictionary if dictionary is not None else materialized_dictionary(train_lines, params.k)
     r = run_lr(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params)
     r.dictionary = d
     return r
 
 
-def write_svm_coefficients(result: TaskResult, params: Params, path: str) -> str:
-    """Write a trained SVM's coefficient report (top words, final cost, the K-value list).
+def write_coefficients(weights: DataFrame, dictionary: DataFrame, cost: float | None, params: Params, path: str) -> str:
+    """Write the coefficient report of any ``(pos, weight)`` table: top words, final cost, the list by position.
 
     This is the file the reduced-dictionary task reads its coefficients from.
     """
-    spark = result.dictionary.sparkSession
+    top = top_coefficient_words(weights.withColumnRenamed("weight", "coef"), dictionary, params.k, params.top_n)
+    return write_coefficient_report(coefficient_report_lines(weights, top, cost, params.top_n), path)
+
+
+def write_svm_coefficients(result: TaskResult, params: Params, path: str) -> str:
+    """The report of a trained SVM; the cost is that of its last iteration."""
     model: SvmModel = result.model
-    w = model.weights(spark)
-    top = top_coefficient_words(w.withColumnRenamed("weight", "coef"), result.dictionary, params.k, params.top_n)
     cost = model.trace_rows[-1][1] if model.trace_rows else None
-    return write_coefficient_report(coefficient_report_lines(w, top, cost, params.top_n), path)
+    return write_coefficients(model.weights(result.dictionary.sparkSession), result.dictionary, cost, params, path)
+
+
+def write_lr_coefficients(result: TaskResult, params: Params, path: str) -> str:
+    """The report of a fitted logistic regression; the cost is its last log-loss."""
+    model = result.model
+    cost = float(model.summary.objectiveHistory[-1]) if model.hasSummary else None
+    return write_coefficients(lr_weights(model, result.dictionary.sparkSession), result.dictionary, cost, params, path)
 
 
 def select_positions(coefs: DataFrame | None, dictionary: DataFrame, params: Params, weighted: bool = True) -> DataFrame:
@@ -124,9 +138,13 @@ def reduced_dictionary(dictionary: DataFrame, coefs: DataFrame | None, params: P
 
 
 def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_lines: DataFrame,
-                      params: Params = Params(), weighted: bool = True) -> tuple[DataFrame, TaskResult, TaskResult]:
-    """LR and SVM on the reduced dictionary; returns (comparison rows, LR result, SVM result)."""
-    d = materialized_dictionary(train_lines, params.k)
+                      params: Params = Params(), weighted: bool = True,
+                      dictionary: DataFrame | None = None) -> tuple[DataFrame, TaskResult, TaskResult]:
+    """LR and SVM on the reduced dictionary; returns (comparison rows, LR result, SVM result).
+
+    ``comparison_report`` of the rows is the report of both.
+    """
+    d = dictionary if dictionary is not None else materialized_dictionary(train_lines, params.k)
     rd = materialize(reduced_dictionary(d, coefs, params, weighted), "reduced-dictionary")
     m = params.m
     # both sides are written once: both models train on / score the same tables

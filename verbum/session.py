@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,27 +64,55 @@ def broadcast_max_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
 
 
-def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
-    """``df`` marked for broadcast; ``row_bound`` is the parameter (K, m) that bounds its rows.
-
-    Raises ``ValueError`` if the parameter is above ``verbum.broadcast.maxRows``.
-    """
-    most = broadcast_max_rows(df.sparkSession)
+def check_bound(spark: SparkSession, row_bound: int) -> None:
+    """Raises ``ValueError`` if the parameter (K, m) is above ``verbum.broadcast.maxRows``."""
+    most = broadcast_max_rows(spark)
     if row_bound > most:
         raise ValueError(f"a dictionary of {row_bound} rows exceeds {BROADCAST_MAX_ROWS_CONF} = {most}")
+
+
+def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
+    """``df`` marked for broadcast; ``row_bound`` is the parameter (K, m) that bounds its rows (``check_bound``)."""
+    check_bound(df.sparkSession, row_bound)
     return F.broadcast(df)
 
 
+_owned: ContextVar[list[tuple[str, DataFrame]] | None] = ContextVar("verbum_owned_tables", default=None)
+
+
 def write_and_read(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the checkpoint folder and return a DataFrame reading it.
 
     Cuts the lineage: every later pass (and every re-run after a lost
     executor) reads the written files instead of recomputing the input.
+    The table stays until the enclosing ``own_tables`` ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append((path, table))
+    return table
+
+
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables that ``write_and_read`` and ``materialize`` make inside it, and their caches.
+
+    What is to last must be written elsewhere before the end.
+    """
+    outer = _owned.set([])
+    try:
+        yield
+    finally:
+        made = _owned.get() or []
+        _owned.reset(outer)
+        for path, table in made:
+            table.unpersist()
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

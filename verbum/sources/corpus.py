@@ -19,7 +19,7 @@ ALL = "all"
 
 # Fixed values of the fixture adapter (FIXTURES.md section 4):
 #   key prefix "AU" for lang = 'de', else "WK";
-#   lines of doc_id % 50 = 7 carry no url= attribute;
+#   with missing_url, lines of doc_id % 50 = 7 carry no url= attribute;
 #   doc_id % 5 = 0 is the held-out test side, the rest is training.
 POSITIVE_LANG = "de"
 NO_URL_MOD, NO_URL_REM = 50, 7
@@ -40,8 +40,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def documents_as_lines(documents: DataFrame, side: str = ALL) -> DataFrame:
-    """``documents(doc_id, text, lang, source)`` -> corpus lines ``value string``."""
+def documents_as_lines(documents: DataFrame, side: str = ALL, missing_url: bool = False) -> DataFrame:
+    """``documents(doc_id, text, lang, source)`` -> corpus lines ``value string``.
+
+    ``missing_url`` leaves the attribute out of some lines, for queries on the line filter itself.
+    """
     doc_id = F.col("doc_id")
     if side == TRAIN:
         documents = documents.where(doc_id % TEST_MOD != TEST_REM)
@@ -54,16 +57,17 @@ def documents_as_lines(documents: DataFrame, side: str = ALL) -> DataFrame:
     # each CR and each LF becomes one space (plain byte-level replace: the
     # line expression is re-evaluated by pushed-down marker filters)
     body = F.replace(F.replace(F.col("text"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
-    url = F.when(doc_id % NO_URL_MOD == NO_URL_REM, F.lit("")).otherwise(
-        F.concat(F.lit(' url="http://'), F.col("source"), F.lit("/"), doc_id.cast("string"), F.lit('"')))
+    url = F.concat(F.lit(' url="http://'), F.col("source"), F.lit("/"), doc_id.cast("string"), F.lit('"'))
+    if missing_url:
+        url = F.when(doc_id % NO_URL_MOD == NO_URL_REM, F.lit("")).otherwise(url)
     value = F.concat(F.lit('<doc id="'), key, F.lit('"'), url, F.lit(' title="t">'), body, F.lit("</doc>"))
     return documents.select(value.alias("value"))
 
 
-def fixture_corpus(spark: SparkSession, sf_dir: str, side: str = ALL, partitions: int | None = None) -> DataFrame:
+def fixture_corpus(spark: SparkSession, sf_dir: str, side: str = ALL, partitions: int | None = None, missing_url: bool = False) -> DataFrame:
     """Corpus lines built from ``{sf_dir}/documents.parquet``; ``partitions`` as in ``scan_corpus``."""
     documents = read_table(spark, sf_dir, "documents")
-    return documents_as_lines(documents if partitions is None else documents.repartition(partitions), side)
+    return documents_as_lines(documents if partitions is None else documents.repartition(partitions), side, missing_url)
 
 
 def range_source(spark: SparkSession, k: int, limit_col=None) -> DataFrame:
