@@ -342,6 +342,28 @@ FROM held JOIN labels ON substr(doc_key, 3) = CAST(doc_id AS VARCHAR) GROUP BY p
     'Number of True Positives = ' || tp, 'Number of False Positives = ' || fp, 'Number of False Negatives = ' || fn, 'Number of True Negatives = ' || tn]) AS line FROM {table}"""
         for model, n, table in (("linear_svm_full", K, "svm_metrics"), ("linear_svm_reduced", M, "rsvm_metrics"))))
 
+    # the SVM task at the reference's settings: a recursive query, one row an iteration
+    large = [c.replace(f"LIMIT {K})", "LIMIT 20000)") if c.startswith("dict AS") else c for c in TRAIN_VECTORS] + TEST_VECTORS
+    q["task_svm_full_defaults"] = "WITH RECURSIVE" + with_(large + [
+        f"nn AS (SELECT {D('count(*)')} AS n, {D('count(*)')} / {D(C_DIVISOR)} AS c FROM sgn_train)",
+        f"""svm AS (
+  SELECT 0 AS iter, (SELECT list({D(0)}) FROM dict) AS w, {D(0)} AS b, {D(0.001)} AS rate, CAST('inf' AS DOUBLE) AS old, {D('NULL')} AS cost, false AS stopped
+  UNION ALL (
+  WITH m AS (SELECT d.label, d.idx, list_sum(list_transform(d.idx, lambda p: s.w[p + 1])) - s.b AS margin FROM svm s, sgn_train d WHERE NOT s.stopped AND s.iter < 400),
+  g AS (SELECT pos, {D('sum(-label)')} AS s FROM (SELECT label, unnest(idx) AS pos FROM m WHERE label * margin < 1) GROUP BY pos),
+  t AS (SELECT sum(greatest({D(0)}, 1 - label * margin)) AS hinge, {D('coalesce(sum(label) FILTER (label * margin < 1), 0)')} AS gb FROM m),
+  old_w AS (SELECT unnest(w) AS w, unnest(range(len(w))) AS pos FROM svm),
+  new_w AS (SELECT list(o.w - s.rate * ((1 / nn.n) * coalesce(g.s, 0) + (2 / nn.n * nn.c) * o.w) ORDER BY o.pos) AS w
+    FROM old_w o LEFT JOIN g ON g.pos = o.pos, svm s, nn),
+  now AS (SELECT (1 / nn.n) * t.hinge + (0.5 * nn.n * nn.c) * (SELECT sum(w * w) FROM old_w) AS cost FROM t, nn)
+  SELECT s.iter + 1, new_w.w, s.b - s.rate * ((1 / nn.n) * t.gb), s.rate * CASE WHEN s.old > now.cost THEN {D(1.05)} ELSE {D(0.5)} END, now.cost, now.cost,
+         s.old - now.cost < {D(TOL)}
+  FROM svm s, new_w, t, now, nn WHERE NOT s.stopped AND s.iter < 400))""",
+        "model AS (SELECT * FROM svm ORDER BY iter DESC LIMIT 1)",
+        """pred AS (SELECT label, CASE WHEN list_sum(list_transform(idx, lambda p: m.w[p + 1])) - m.b >= 0 THEN 1 ELSE -1 END AS prediction FROM sgn_test, model m)""",
+        f"metrics AS ({metrics_body('pred', -1)})",
+    ], f"SELECT tp, fp, fn, tn, f1_pct, iter AS iterations, stopped AS converged, {_r('cost')}, {_r('b', 'intercept')} FROM metrics, model").removeprefix("WITH")
+
     # what holds of logistic regressions on separable data, whatever their weights
     q["lr_predict_documents"] = with_(DICT + TEST_VECTORS, "SELECT doc_key, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label, true AS sound FROM sgn_test")
     q["lr_training_confusion"] = with_(REDUCED, " UNION ALL ".join(

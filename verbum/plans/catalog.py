@@ -25,7 +25,7 @@ from verbum.operators import vectors as vx
 from verbum.operators import vocab as vc
 from verbum.operators.logreg import lr_predict, lr_score, lr_train, lr_weights
 from verbum.operators.svm import SvmModel, svm_early_stop, svm_predict, svm_train
-from verbum.params import FIXTURE_EARLY_STOP_TOL, FIXTURE_PARAMS as P
+from verbum.params import FIXTURE_EARLY_STOP_TOL, FIXTURE_PARAMS as P, Params
 from verbum.plans import tasks as tk
 from verbum.plans.tasks import round_doubles
 from verbum.session import scratch_path, write_and_read
@@ -461,6 +461,15 @@ def q_task_reduced_both(spark, sf):
     return rows
 
 
+def q_task_svm_full_defaults(spark, sf):
+    """The SVM task at the reference's settings (K = 20,000, rate 0.001, at most 400 iterations), with the iteration it stops at."""
+    fx = _Fx(spark, sf)
+    r = tk.task_svm_full(fx.lines(TRAIN), fx.lines(TEST), Params())
+    last, cost, _, intercept, _ = r.model.trace_rows[-1]
+    return round_doubles(r.metrics.select("tp", "fp", "fn", "tn", "f1_pct", F.lit(last).alias("iterations"), F.lit(r.model.converged).alias("converged"),
+                                          F.lit(cost).alias("cost"), F.lit(intercept).alias("intercept")))
+
+
 def q_comparison_report(spark, sf):
     """The report of both SVMs, written by the sink and read back."""
     path = scratch_path(spark, "comparison-report")
@@ -555,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "lr_training_confusion": q_lr_training_confusion,
     "model_comparison_totals": q_model_comparison_totals,
     "comparison_report": q_comparison_report,
+    "task_svm_full_defaults": q_task_svm_full_defaults,
 }
 
 # Queries checked by row count only; what SQL can state of them is in lr_train_optimum,
