@@ -157,3 +157,51 @@ def test_passages_against_brute_force(spark, monkeypatch):
         got = [(x["doc_id"], x["spans"]) for x in suffix.repeated_passages(docs).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert suffix.repeated_passages(docs.limit(0)).count() == 0
+
+
+def classes(nodes, links):
+    root = {x: x for x in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        root[find(a)] = find(b)
+    out = defaultdict(set)
+    for x in nodes:
+        out[find(x)].add(x)
+    return {frozenset(c) for c in out.values()}
+
+
+def test_partners_link_all_documents_that_share_passages(spark, monkeypatch):
+    r = random.Random(8)
+    words = ["w%d" % i for i in range(5000)]
+
+    def some(n):
+        return [r.choice(words) for _ in range(n)]
+
+    one, long = some(60), some(110)
+    rows = [(i, " ".join(some(5) + one + some(5))) for i in range(60)]
+    # Pieces of a longer passage, some of which share nothing but a third piece.
+    rows += [(100 + i, " ".join(some(5) + long[s:s + 55] + some(5))) for i, s in enumerate(r.choices(range(0, 56, 5), k=40))]
+    # Two groups that a document of many partners holds together.
+    left, seed, right = some(19), some(31), some(19)
+    rows += [(200 + i, " ".join(some(5) + left + seed + some(5))) for i in range(8)] + [(220 + i, " ".join(some(5) + seed + right + some(5))) for i in range(8)]
+    rows += [(240, " ".join(some(5) + left + seed + right + some(5)))]
+    held = defaultdict(set)
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - 49):
+            held[tuple(w[k:k + 50])].add(i)
+    nodes = {i for s in held.values() if len(s) > 1 for i in s}
+    shared = {i: set().union(*(s for s in held.values() if i in s)) for i in nodes}
+    want = classes(nodes, [(min(s), i) for s in held.values() if len(s) > 1 for i in s])
+    docs = spark.createDataFrame(rows, KIND).repartition(5)
+    for hot in (suffix.HOT, 3):
+        monkeypatch.setattr(suffix, "HOT", hot)
+        got = {x["doc_id"]: x["partners"] for x in suffix.repeated_passages(docs).collect()}
+        assert got.keys() == nodes and all(set(ps) <= shared[i] - {i} for i, ps in got.items())
+        found = classes(nodes, [(i, x) for i, ps in got.items() for x in ps])
+        assert found == want, (hot, len(found), len(want))

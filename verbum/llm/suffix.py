@@ -19,7 +19,8 @@ is among the passage's first ``WINDOW`` words.  From there at least
    neighbours in the order of that split, and match if two documents hold them.
    Of a hash dealt on by document, splits that one task sees in two documents
    match at once; it sends one row for each split it saw, and Spark settles
-   those that a task saw in one document only.
+   those that a task saw in one document only and links the least document of
+   each task to the least of all, so that a split's documents hang together.
 4. A document's matches are merged; kept places lie at most ``WINDOW`` words
    apart, so merged matches reach both ends of a passage.
 """
@@ -129,7 +130,7 @@ def _with_context(window: int, seed: int):
     return run
 
 
-# A match; or a split (a hash) that one task saw: of one document, to be settled, or of two (lo is null).
+# A match; or a split (a hash) that one task saw: of one document (partner is null), to be settled, or of two: its least document's match.
 _MATCH = "id long, rh long, lo int, hi int, partner long, split long"
 
 
@@ -172,9 +173,10 @@ def _extend(window: int, min_words: int):
         spread = level[row] > 0
         two = spread[first] & (least != most)
         if two.any():
-            seen = first[two]
-            none = pa.nulls(len(seen), pa.int32())
-            yield batch(least[two], rh[row[seen]], none, none, pa.array(most[two]), pa.array(k[seen].view(np.int64)))
+            mine = np.flatnonzero(doc == np.repeat(least, size))
+            seen = mine[np.searchsorted(mine, first[two])]
+            lo = p[row[seen]] - d[seen]
+            yield batch(least[two], rh[row[seen]], pa.array(lo, pa.int32()), pa.array(lo + min_words, pa.int32()), pa.array(most[two]), pa.array(k[seen].view(np.int64)))
         alone = np.flatnonzero(spread & ~good)
         if len(alone):
             lo = p[row[alone]] - d[alone]
@@ -183,13 +185,15 @@ def _extend(window: int, min_words: int):
         row, d, partner = row[good], d[good], partner[good]
         if not len(row):
             return
-        # All splits of a suffix overlap in its seed, so they make one range.
-        order = np.argsort(row, kind="stable")
+        # All splits of a suffix overlap in its seed, so they make one range; it goes out with each partner they have.
+        order = np.lexsort((partner, row))
         row, d, partner = row[order], d[order], partner[order]
-        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        at = row[first]
-        lo, hi = p[at] - np.maximum.reduceat(d, first), p[at] - np.minimum.reduceat(d, first) + min_words
-        yield batch(ids[at], rh[at], pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(partner[first]), pa.nulls(len(at), pa.int64()))
+        new = np.append(True, row[1:] != row[:-1])
+        first = np.flatnonzero(new)
+        lo, hi = p[row[first]] - np.maximum.reduceat(d, first), p[row[first]] - np.minimum.reduceat(d, first) + min_words
+        each = np.flatnonzero(new | np.append(True, partner[1:] != partner[:-1]))
+        at, of = row[each], np.searchsorted(first, each, side="right") - 1
+        yield batch(ids[at], rh[at], pa.array(lo[of], pa.int32()), pa.array(hi[of], pa.int32()), pa.array(partner[each]), pa.nulls(len(at), pa.int64()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -236,8 +240,10 @@ def matched_ranges(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WI
     dealt = context.withColumn("salt", salt).repartition("h", "salt").sortWithinPartitions("h", "context")
     out = cut(dealt.select("h", "context", "id", "rh", "p", "level").mapInArrow(_extend(window, min_words), _MATCH))
     seen = out.filter("split IS NOT NULL")
-    sides = cut(seen.groupBy("split").agg(F.min("id").alias("a"), F.max(F.coalesce("partner", "id")).alias("b")).filter("a < b"))
-    late = (seen.filter("lo IS NOT NULL").drop("partner").join(sides, "split")
+    # A split that one task saw once is settled; of a match sent with its split only the link to the least document is left.
+    sides = cut(seen.groupBy("split").agg(F.min("id").alias("a"), F.max(F.coalesce("partner", "id")).alias("b"), F.count("*").alias("n"))
+                .filter("a < b AND n > 1").drop("n"))
+    late = (seen.join(sides, "split").filter("partner IS NULL OR id > a")
             .withColumn("partner", F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a"))))
     pick = ["id", "rh", "lo", "hi", "partner"]
     return out.filter("split IS NULL").select(*pick).unionAll(late.select(*pick))
