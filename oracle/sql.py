@@ -9,6 +9,8 @@ rounded to 9 decimals.
 
 from __future__ import annotations
 
+import re
+
 K = 1000
 M = 500
 SEED = 42
@@ -344,7 +346,7 @@ FROM held JOIN labels ON substr(doc_key, 3) = CAST(doc_id AS VARCHAR) GROUP BY p
 
     # the SVM task at the reference's settings: a recursive query, one row an iteration
     large = [c.replace(f"LIMIT {K})", "LIMIT 20000)") if c.startswith("dict AS") else c for c in TRAIN_VECTORS] + TEST_VECTORS
-    q["task_svm_full_defaults"] = "WITH RECURSIVE" + with_(large + [
+    svm = [
         f"nn AS (SELECT {D('count(*)')} AS n, {D('count(*)')} / {D(C_DIVISOR)} AS c FROM sgn_train)",
         f"""svm AS (
   SELECT 0 AS iter, (SELECT list({D(0)}) FROM dict) AS w, {D(0)} AS b, {D(0.001)} AS rate, CAST('inf' AS DOUBLE) AS old, {D('NULL')} AS cost, false AS stopped
@@ -359,11 +361,43 @@ FROM held JOIN labels ON substr(doc_key, 3) = CAST(doc_id AS VARCHAR) GROUP BY p
   SELECT s.iter + 1, new_w.w, s.b - s.rate * ((1 / nn.n) * t.gb), s.rate * CASE WHEN s.old > now.cost THEN {D(1.05)} ELSE {D(0.5)} END, now.cost, now.cost,
          s.old - now.cost < {D(TOL)}
   FROM svm s, new_w, t, now, nn WHERE NOT s.stopped AND s.iter < 400))""",
+    ]
+    q["task_svm_full_defaults"] = "WITH RECURSIVE" + with_(large + [
+        *svm,
         "model AS (SELECT * FROM svm ORDER BY iter DESC LIMIT 1)",
         """pred AS (SELECT label, CASE WHEN list_sum(list_transform(idx, lambda p: m.w[p + 1])) - m.b >= 0 THEN 1 ELSE -1 END AS prediction FROM sgn_test, model m)""",
         f"metrics AS ({metrics_body('pred', -1)})",
     ], f"SELECT tp, fp, fn, tn, f1_pct, iter AS iterations, stopped AS converged, {_r('cost')}, {_r('b', 'intercept')} FROM metrics, model").removeprefix("WITH")
 
+    q["svm_train_defaults"] = "WITH RECURSIVE" + with_(large + svm + ["model AS (SELECT * FROM svm ORDER BY iter DESC LIMIT 1)"],
+        f"SELECT CAST(range AS INTEGER) AS pos, {_r('coalesce(w[range + 1], 0)', 'weight')}, {_r('b', 'intercept')} FROM model, range(20000)").removeprefix("WITH")
+    trace = f"""trace AS (SELECT iter, cost, lag(rate) OVER (ORDER BY iter) AS learning_rate, b AS intercept,
+    {D(2)} / nullif(sqrt(list_sum(list_transform(w, lambda x: x * x))), 0) AS margin, lag(cost) OVER (ORDER BY iter) - cost AS drop FROM svm)"""
+    q["svm_training_trace_defaults"] = "WITH RECURSIVE" + with_(large + svm + [trace],
+        "SELECT iter, " + ", ".join(_r(f"{c} + 1e-13", c) for c in ("cost", "learning_rate", "intercept", "margin")) + " FROM trace WHERE iter > 0").removeprefix("WITH")
+    q["svm_early_stop_defaults"] = "WITH RECURSIVE" + with_(large + svm + [trace],
+        f"SELECT coalesce(min(iter) FILTER (drop < {D(TOL)}), max(iter)) AS stop_iter, count_if(drop < {D(TOL)}) > 0 AS converged FROM trace").removeprefix("WITH")
+
+    # both SVMs at the reference's settings; the reduced words are drawn by the trained weights
+    both_svm = large + svm + [
+        "model AS MATERIALIZED (SELECT * FROM svm ORDER BY iter DESC LIMIT 1)",
+        "coefs AS (SELECT unnest(w) AS coef, unnest(range(len(w))) AS pos FROM model)",
+        "norm AS (SELECT pos, (coef - (SELECT min(coef) FROM coefs)) / nullif((SELECT max(coef) - min(coef) FROM coefs), 0) AS p FROM coefs)",
+        f"selected AS (SELECT pos FROM norm ORDER BY CASE WHEN p > 0 THEN -ln({u_expr('pos')}) / p END NULLS LAST, {u_expr('pos')}, pos LIMIT 10000)",
+        "rdict AS MATERIALIZED (SELECT word, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS pos FROM dict WHERE pos IN (SELECT pos FROM selected))",
+        *[c for side in ("train", "test") for c in (pairs_cte(f"rpairs_{side}", side, "rdict"), vectors_cte(f"rvec_{side}", f"rpairs_{side}"), signed_cte(f"rsgn_{side}", f"rvec_{side}"))],
+        *[re.sub(r"\b(svm|sgn_train|dict|nn)\b", r"r\1", c) for c in svm],
+        "rmodel AS MATERIALIZED (SELECT * FROM rsvm ORDER BY iter DESC LIMIT 1)",
+        *[c for r in ("", "r") for c in (
+            f"""{r}pred AS (SELECT label, CASE WHEN list_sum(list_transform(idx, lambda p: m.w[p + 1])) - m.b >= 0 THEN 1 ELSE -1 END AS prediction FROM {r}sgn_test, {r}model m)""",
+            f"{r}metrics AS ({metrics_body(f'{r}pred', -1)})")],
+        """compared AS (SELECT 'linear_svm_full' AS model, (SELECT CAST(count(*) AS INTEGER) FROM dict) AS n_features, tp, fp, fn, tn, f1_pct FROM metrics
+  UNION ALL SELECT 'linear_svm_reduced', (SELECT CAST(count(*) AS INTEGER) FROM rdict), tp, fp, fn, tn, f1_pct FROM rmetrics)""",
+    ]
+    q["svm_model_comparison_defaults"] = "WITH RECURSIVE" + with_(both_svm, "SELECT * FROM compared").removeprefix("WITH")
+    q["comparison_report_defaults"] = "WITH RECURSIVE" + with_(both_svm, """SELECT unnest([model || ' on ' || n_features || ' words', 'F1 score for classifier = ' || (CASE WHEN f1_pct IS NULL THEN 'undefined' ELSE printf('%.2f', f1_pct) END) || ' %',
+    'Number of True Positives = ' || tp, 'Number of False Positives = ' || fp, 'Number of False Negatives = ' || fn, 'Number of True Negatives = ' || tn]) AS line FROM compared""").removeprefix("WITH")
+
     # what holds of logistic regressions on separable data, whatever their weights
     q["lr_predict_documents"] = with_(DICT + TEST_VECTORS, "SELECT doc_key, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label, true AS sound FROM sgn_test")
     q["lr_training_confusion"] = with_(REDUCED, " UNION ALL ".join(

@@ -6,7 +6,9 @@ section 4).  The training side is ``doc_id % 5 <> 0``, the held-out test side
 those of vectors and labels return both, with the column ``side``.  Only the
 queries on scanning, the line filter and the parsers of a line read lines of which some lack
 ``url=``; all others get every text.  Parameters are ``FIXTURE_PARAMS`` (K = 1000,
-m = 500, SVM rate 0.05 and 5 iterations).  Floating outputs are rounded to 9
+m = 500, SVM rate 0.05 and 5 iterations) but for ``task_lr_full``, ``task_reduced_both``,
+``model_comparison`` and the queries named ``..._defaults``, which run ``Params()``, the
+reference's settings, on a trained model's coefficient report.  Floating outputs are rounded to 9
 decimals so that they compare across engines.
 """
 
@@ -43,8 +45,8 @@ class _Fx:
     first-step model) is written once under ``spark.checkpoint.dir`` and read
     back, so each corpus side is tokenised once per query, not once per use."""
 
-    def __init__(self, spark: SparkSession, sf: str):
-        self.spark, self.sf = spark, sf
+    def __init__(self, spark: SparkSession, sf: str, params: Params = P):
+        self.spark, self.sf, self.p = spark, sf, params
         self._memo: dict = {}
 
     def _once(self, key, make):
@@ -63,22 +65,22 @@ class _Fx:
 
     def dictionary(self):
         return self._once("dict", lambda: write_and_read(
-            vc.build_dictionary(vc.word_counts(self.train_tokens()), P.k), "dictionary"))
+            vc.build_dictionary(vc.word_counts(self.train_tokens()), self.p.k), "dictionary"))
 
     def vectors(self, side):
         return self._once(("vec", side), lambda: write_and_read(
-            vx.doc_vectors(ps.corpus_tokens(self.lines(side)), self.dictionary(), P.k), f"vectors-{side}"))
+            vx.doc_vectors(ps.corpus_tokens(self.lines(side)), self.dictionary(), self.p.k), f"vectors-{side}"))
 
     def signed(self, side):
         return vx.with_signed_label(self.vectors(side))
 
     def joined(self, side):
-        return vx.dictionary_join(ps.word_doc_pairs(ps.corpus_tokens(self.lines(side))), self.dictionary(), P.k)
+        return vx.dictionary_join(ps.word_doc_pairs(ps.corpus_tokens(self.lines(side))), self.dictionary(), self.p.k)
 
     def first_step(self):
         """``(pos, weight, intercept)`` after one SVM step from zero (K rows)."""
         return self._once("step1", lambda: write_and_read(
-            lin.svm_first_step(self.signed(TRAIN), self.dictionary(), P.k, P.svm_rate, P.c_divisor), "first-step"))
+            lin.svm_first_step(self.signed(TRAIN), self.dictionary(), self.p.k, self.p.svm_rate, self.p.c_divisor), "first-step"))
 
     def first_weights(self):
         return self.first_step().select("pos", "weight")
@@ -90,25 +92,36 @@ class _Fx:
         """First-step weights written as a coefficient report, then read back."""
         def make():
             w = self.first_weights()
-            top = sl.top_coefficient_words(w.withColumnRenamed("weight", "coef"), self.dictionary(), P.k, P.top_n)
-            report = co.coefficient_report_lines(w, top, None, P.top_n)
+            top = sl.top_coefficient_words(w.withColumnRenamed("weight", "coef"), self.dictionary(), self.p.k, self.p.top_n)
+            report = co.coefficient_report_lines(w, top, None, self.p.top_n)
             path = co.write_coefficient_report(report, scratch_path(self.spark, "coefficients"))
             return co.load_coefficients(self.spark, path)
         return self._once("coefs", make)
 
     def svm_model(self) -> SvmModel:
-        return self._once("svm", lambda: svm_train(self.signed(TRAIN), P.k, P))
+        return self._once("svm", lambda: svm_train(self.signed(TRAIN), self.p.k, self.p))
 
     def svm_pred(self):
         model = self.svm_model()
-        return svm_predict(self.signed(TEST), model.weights(self.spark), model.intercept, P.k)
+        return svm_predict(self.signed(TEST), model.weights(self.spark), model.intercept, self.p.k)
 
     def svm_metrics(self):
         return ev.f1_score(ev.confusion_matrix_signed(self.svm_pred()))
 
     def reduced(self, weighted=True):
         return self._once(("reduced", weighted), lambda: write_and_read(tk.reduced_dictionary(
-            self.dictionary(), self.coefficients() if weighted else None, P, weighted), "reduced-dictionary"))
+            self.dictionary(), self.coefficients() if weighted else None, self.p, weighted), "reduced-dictionary"))
+
+    def svm_full(self):
+        return self._once("svm_full", lambda: tk.task_svm_full(self.lines(TRAIN), self.lines(TEST), self.p, self.dictionary()))
+
+    def trained_coefficients(self):
+        """The trained SVM's coefficient report, written by its task and read back."""
+        return self._once("trained", lambda: co.load_coefficients(
+            self.spark, tk.write_svm_coefficients(self.svm_full(), self.p, scratch_path(self.spark, "coefficients"))))
+
+    def reduced_both(self):
+        return tk.task_reduced_both(self.lines(TRAIN), self.trained_coefficients(), self.lines(TEST), self.p, dictionary=self.dictionary())[0]
 
 
 def _both(make: Callable[[str], DataFrame]) -> DataFrame:
@@ -430,7 +443,7 @@ def q_svm_model_comparison(spark, sf):
     return full.unionByName(reduced)
 
 
-def q_model_comparison(spark, sf):
+def q_model_comparison_small(spark, sf):
     fx = _Fx(spark, sf)
     tr_lines, te_lines = fx.lines(TRAIN), fx.lines(TEST)
     svm_full = tk.task_svm_full(tr_lines, te_lines, P, fx.dictionary())
@@ -443,7 +456,7 @@ def q_model_comparison(spark, sf):
     ])
 
 
-def q_task_lr_full(spark, sf):
+def q_task_lr_full_small(spark, sf):
     fx = _Fx(spark, sf)
     r = tk.task_lr_full(fx.lines(TRAIN), fx.lines(TEST), P)
     return round_doubles(_metrics_cols(r.metrics))
@@ -455,7 +468,7 @@ def q_task_svm_full(spark, sf):
     return round_doubles(_metrics_cols(r.metrics))
 
 
-def q_task_reduced_both(spark, sf):
+def q_task_reduced_both_small(spark, sf):
     fx = _Fx(spark, sf)
     rows, _, _ = tk.task_reduced_both(fx.lines(TRAIN), fx.coefficients(), fx.lines(TEST), P, dictionary=fx.dictionary())
     return rows
@@ -470,13 +483,75 @@ def q_task_svm_full_defaults(spark, sf):
                                           F.lit(cost).alias("cost"), F.lit(intercept).alias("intercept")))
 
 
-def q_comparison_report(spark, sf):
-    """The report of both SVMs, written by the sink and read back."""
+def q_task_lr_full(spark, sf):
+    """The LR task at the reference's settings."""
+    fx = _Fx(spark, sf)
+    return round_doubles(_metrics_cols(tk.task_lr_full(fx.lines(TRAIN), fx.lines(TEST), Params()).metrics))
+
+
+def q_task_reduced_both(spark, sf):
+    """Both models on m = 10,000 of K = 20,000 words, chosen by the report of the SVM trained on all of them."""
+    return _Fx(spark, sf, Params()).reduced_both()
+
+
+def q_model_comparison(spark, sf):
+    """The four models of the three tasks at the reference's settings."""
+    fx = _Fx(spark, sf, Params())
+    n = fx.dictionary().count()
+    lr_full = tk.task_lr_full(fx.lines(TRAIN), fx.lines(TEST), fx.p, fx.dictionary())
+    return ev.model_comparison([
+        ev.model_row(lr_full.metrics, "logistic_regression_full", n),
+        ev.model_row(fx.svm_full().metrics, "linear_svm_full", n),
+        fx.reduced_both().withColumn("model", F.concat(F.col("model"), F.lit("_reduced"))),
+    ])
+
+
+def q_svm_train_defaults(spark, sf):
+    fx = _Fx(spark, sf, Params())
+    model = fx.svm_model()
+    return round_doubles(model.weights(spark).withColumn("intercept", F.lit(float(model.intercept))))
+
+
+def q_svm_training_trace_defaults(spark, sf):
+    """Early costs are short decimals; 1e-13 keeps halves of the ninth place from rounding either way by engine."""
+    trace = _Fx(spark, sf, Params()).svm_model().trace(spark)
+    return round_doubles(trace.select("iter", *[(F.col(c) + F.lit(1e-13)).alias(c) for c in trace.columns[1:]]))
+
+
+def q_svm_early_stop_defaults(spark, sf):
+    fx = _Fx(spark, sf, Params())
+    return svm_early_stop(fx.svm_model().trace(spark), fx.p.svm_tol)
+
+
+def q_svm_model_comparison_defaults(spark, sf):
+    """Both SVMs at the reference's settings; the reduced words are chosen by the full model's report."""
+    fx = _Fx(spark, sf, Params())
+    full = ev.model_row(fx.svm_full().metrics, "linear_svm_full", fx.dictionary().count())
+    rd = write_and_read(tk.reduced_dictionary(fx.dictionary(), fx.trained_coefficients(), fx.p), "reduced-dictionary")
+    r = tk.run_svm(tk.vectors_of(fx.lines(TRAIN), rd, fx.p.m), tk.vectors_of(fx.lines(TEST), rd, fx.p.m), fx.p.m, fx.p)
+    return full.unionByName(ev.model_row(r.metrics, "linear_svm_reduced", rd.count()))
+
+
+def _written_report(spark, rows):
     path = scratch_path(spark, "comparison-report")
-    write_report(ev.comparison_report(q_svm_model_comparison(spark, sf)), path)
+    write_report(ev.comparison_report(rows), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def q_comparison_report(spark, sf):
+    """The report of both SVMs, written by the sink and read back."""
+    return _written_report(spark, q_svm_model_comparison(spark, sf))
+
+
+def q_comparison_report_defaults(spark, sf):
+    return _written_report(spark, q_svm_model_comparison_defaults(spark, sf))
+
+
+def flagship(spark, sf):
+    """The metrics of the SVM task at the reference's settings."""
+    return round_doubles(_metrics_cols(_Fx(spark, sf, Params()).svm_full().metrics))
+
+
 def q_lr_predict_documents(spark, sf):
     """What holds of every prediction: a document of the test side, its label, a class that follows from its probability."""
     pred = q_lr_predict(spark, sf)
@@ -497,7 +572,7 @@ def q_lr_training_confusion(spark, sf):
 
 def q_model_comparison_totals(spark, sf):
     """Of each of the four models: features, documents scored and those of them with the positive label."""
-    return q_model_comparison(spark, sf).select(
+    return q_model_comparison_small(spark, sf).select(
         "model", "n_features", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_docs"), (F.col("tp") + F.col("fn")).alias("n_positive"))
 
 
@@ -555,9 +630,12 @@ QUERIES: dict[str, Query] = {
     "svm_predict": q_svm_predict,
     "svm_model_comparison": q_svm_model_comparison,
     "model_comparison": q_model_comparison,
+    "model_comparison_small": q_model_comparison_small,
     "task_lr_full": q_task_lr_full,
+    "task_lr_full_small": q_task_lr_full_small,
     "task_svm_full": q_task_svm_full,
     "task_reduced_both": q_task_reduced_both,
+    "task_reduced_both_small": q_task_reduced_both_small,
     "reduced_dictionary_short_vocabulary": q_reduced_dictionary_short_vocabulary,
     "lr_train_optimum": q_lr_train_optimum,
     "lr_predict_documents": q_lr_predict_documents,
@@ -565,8 +643,13 @@ QUERIES: dict[str, Query] = {
     "model_comparison_totals": q_model_comparison_totals,
     "comparison_report": q_comparison_report,
     "task_svm_full_defaults": q_task_svm_full_defaults,
+    "svm_train_defaults": q_svm_train_defaults,
+    "svm_training_trace_defaults": q_svm_training_trace_defaults,
+    "svm_early_stop_defaults": q_svm_early_stop_defaults,
+    "svm_model_comparison_defaults": q_svm_model_comparison_defaults,
+    "comparison_report_defaults": q_comparison_report_defaults,
 }
 
 # Queries checked by row count only; what SQL can state of them is in lr_train_optimum,
 # lr_predict_documents, lr_training_confusion and model_comparison_totals.
-ROWS_ONLY = {"lr_train", "lr_predict", "model_comparison", "task_lr_full", "task_reduced_both"}
+ROWS_ONLY = {"lr_train", "lr_predict"} | {name + size for name in ("model_comparison", "task_lr_full", "task_reduced_both") for size in ("", "_small")}
