@@ -205,3 +205,23 @@ def test_partners_link_all_documents_that_share_passages(spark, monkeypatch):
         assert got.keys() == nodes and all(set(ps) <= shared[i] - {i} for i, ps in got.items())
         found = classes(nodes, [(i, x) for i, ps in got.items() for x in ps])
         assert found == want, (hot, len(found), len(want))
+
+
+def test_passages_of_documents_without_an_id(spark, monkeypatch):
+    r = random.Random(9)
+
+    def some(n):
+        return ["w%d" % r.randint(0, 5000) for _ in range(n)]
+
+    both, mixed, twice = some(60), some(70), " ".join(some(80))
+    rows = [(None, " ".join(some(n) + both)) for n in range(1, 13)] + [(None, twice)] * 9
+    rows += [(i if i % 3 else None, " ".join(some(i) + mixed)) for i in range(1, 13)]
+    # One id with many texts: only those that another document shares.
+    alone = some(60)
+    rows += [(50, " ".join(some(n) + alone)) for n in range(1, 13)] + [(50, " ".join(some(3) + mixed))]
+    want = [(None, "%d:%d" % (n, n + 60)) for n in range(1, 13)] + [(i if i % 3 else None, "%d:%d" % (i, i + 70)) for i in range(1, 13)] + [(50, "3:73")]
+    docs = spark.createDataFrame(rows, KIND).repartition(5)
+    for hot in (suffix.HOT, 3):
+        monkeypatch.setattr(suffix, "HOT", hot)
+        got = [(x["doc_id"], x["spans"]) for x in suffix.repeated_passages(docs).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), hot

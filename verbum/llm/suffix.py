@@ -42,7 +42,7 @@ HOT = 4096
 CHUNK_ROWS = 100_000
 _MUL = np.random.default_rng(7).integers(1, 1 << 63, MIN_WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _NO_WORD = np.uint32(0)
-_MAX_ID = (1 << 63) - 1  # a null doc_id is a document of its own, after all others
+_MAX_ID = (1 << 63) - 1  # a null doc_id, after all others; each text of it is a document of its own
 
 
 def _hashes(text: bytes) -> np.ndarray:
@@ -103,10 +103,7 @@ LEVELS = 64  # a place and its level travel as place * LEVELS + level
 
 
 def _with_context(window: int, seed: int):
-    """(id, rh, text, codes) to a row per suffix with the words on its right and left as bytes, which sort as the words do.
-
-    Rows of one id share their codes: a place that is another text's is a suffix like any other.
-    """
+    """(id, rh, text, codes) to a row per suffix with the words on its right and left as bytes, which sort as the words do."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = np.arange(window)
@@ -168,10 +165,12 @@ def _extend(window: int, min_words: int):
         first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
         doc = ids[row]
         least, most = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
+        texts = rh[row]
+        shared = (least != most) | ((least == _MAX_ID) & (np.minimum.reduceat(texts, first) != np.maximum.reduceat(texts, first)))
         size = np.diff(np.append(first, len(k)))
-        good = np.repeat(least != most, size)
+        good = np.repeat(shared, size)
         spread = level[row] > 0
-        two = spread[first] & (least != most)
+        two = spread[first] & shared
         if two.any():
             mine = np.flatnonzero(doc == np.repeat(least, size))
             seen = mine[np.searchsorted(mine, first[two])]
@@ -226,23 +225,27 @@ def matched_ranges(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WI
     seed = min_words - window + 1
     rows = _identified(docs)
     suffixes = cut(kept_suffixes(rows, min_words, window, gram))
-    each = suffixes.select("id", F.explode(F.arrays_zip("hs", "ps")).alias("s")).select("id", F.col("s.hs").alias("h"), F.col("s.ps").alias("p"))
-    counts = each.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"))
+    each = suffixes.select("id", "rh", F.explode(F.arrays_zip("hs", "ps")).alias("s")).select("id", "rh", F.col("s.hs").alias("h"), F.col("s.ps").alias("p"))
+    nameless = F.when(F.col("id") == _MAX_ID, F.col("rh"))
+    texts = [F.min(nameless).alias("c"), F.max(nameless).alias("d")]
+    # Of two documents: of two ids, or of two texts without an id.
+    several = F.expr(f"a < b OR a = {_MAX_ID} AND c < d")
+    counts = each.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"), *texts)
     level = F.when(F.col("n") > HOT, F.ceil(F.log2(F.col("n") / HOT))).otherwise(F.lit(0)).cast("long")
     # Written, so that the join can split the rows of a frequent hash over several tasks.
-    shared = cut(counts.filter("a < b").select("h", level.alias("level")))
-    found = each.join(shared, "h").select("id", (F.col("p").cast("long") * LEVELS + F.col("level")).alias("code"))
-    # A document's group holds at most its own kept suffixes.
-    by_doc = found.groupBy("id").agg(F.collect_set("code").alias("codes"))
-    joined = rows.join(by_doc, "id").select("id", "rh", "text", "codes")
+    shared = cut(counts.filter(several).select("h", level.alias("level")))
+    found = each.join(shared, "h").select("id", "rh", (F.col("p").cast("long") * LEVELS + F.col("level")).alias("code"))
+    # A text's group holds at most its own kept suffixes.
+    by_doc = found.groupBy("id", "rh").agg(F.collect_set("code").alias("codes"))
+    joined = rows.join(by_doc, ["id", "rh"]).select("id", "rh", "text", "codes")
     context = joined.mapInArrow(_with_context(window, seed), "h long, context binary, id long, rh long, p int, level int")
-    salt = F.when(F.col("level") > 0, F.pmod(F.xxhash64("id"), F.pow(F.lit(2.0), "level").cast("long"))).otherwise(F.lit(0))
+    salt = F.when(F.col("level") > 0, F.pmod(F.xxhash64("id", "rh"), F.pow(F.lit(2.0), "level").cast("long"))).otherwise(F.lit(0))
     dealt = context.withColumn("salt", salt).repartition("h", "salt").sortWithinPartitions("h", "context")
     out = cut(dealt.select("h", "context", "id", "rh", "p", "level").mapInArrow(_extend(window, min_words), _MATCH))
     seen = out.filter("split IS NOT NULL")
     # A split that one task saw once is settled; of a match sent with its split only the link to the least document is left.
-    sides = cut(seen.groupBy("split").agg(F.min("id").alias("a"), F.max(F.coalesce("partner", "id")).alias("b"), F.count("*").alias("n"))
-                .filter("a < b AND n > 1").drop("n"))
+    sides = cut(seen.groupBy("split").agg(F.min("id").alias("a"), F.max(F.coalesce("partner", "id")).alias("b"), F.count("*").alias("n"), F.max("partner").alias("two"), *texts)
+                .filter(F.expr("n > 1") & (several | F.col("two").isNotNull())).select("split", "a", "b"))
     late = (seen.join(sides, "split").filter("partner IS NULL OR id > a")
             .withColumn("partner", F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a"))))
     pick = ["id", "rh", "lo", "hi", "partner"]
@@ -257,9 +260,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, window: int =
     them, a neighbour of each match.  Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z
     lower-cased.  Null, empty and short texts have none; passages that only one
     document holds, however often, are not reported; rows of one doc_id are one
-    document (two texts of one doc_id give two rows, equal rows one); all rows
-    with a null doc_id are one document, its doc_id null, and null as a partner
-    is left out.  An empty table gives an empty result; further columns are ignored.
+    document (two texts of one doc_id give two rows, equal rows one); each text
+    with a null doc_id is a document, its doc_id null, and null as a partner is
+    left out.  An empty table gives an empty result; further columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
