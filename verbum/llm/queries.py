@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from verbum.llm.blocks import exact_duplicates
+from verbum.llm.bpe import token_report
 from verbum.llm.common import table
 from verbum.llm.fingerprint import fingerprints
 from verbum.llm.lines import line_report
+from verbum.llm.manifest import manifest_report
 from verbum.llm.mixing import mix
 from verbum.llm.packing import pack
+from verbum.llm.periods import periodic_runs, run_report, with_planted_runs
 from verbum.llm.pii import find_personal_data
 from verbum.llm.quality import quality_scores
 from verbum.llm.simhash import near_duplicates
@@ -59,6 +62,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_pii": op2_pii,
@@ -70,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -117,4 +135,54 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_merkle_manifest": """
+        WITH RECURSIVE crc AS (
+            SELECT doc_id, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                       lambda s, c: list_reduce([xor(s, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS inverse
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+        field AS (
+            SELECT d.*, coalesce(xor(c.inverse, 4294967295) % 7 = 0, false) AS tampered,
+                   coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-') AS f1, coalesce(strlen(source) || ':' || source, '-') AS f2,
+                   coalesce(strlen(lang) || ':' || lang, '-') AS f3, coalesce(strlen(text) || ':' || text, '-') AS f5,
+                   coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS f4,
+                   coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS f4_more
+            FROM documents d LEFT JOIN crc c USING (doc_id)),
+        hashed AS (
+            SELECT doc_id, lang, sha256(f1 || f2 || f3 || f4 || f5) AS leaf, CASE WHEN tampered THEN sha256(f1 || f2 || f3 || f4_more || f5) END AS claim FROM field),
+        leaves AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+        node AS (
+            SELECT lang, 0 AS level, i, n, leaf AS digest FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY i)) FROM node WHERE n > 1 GROUP BY lang, level, i // 2, n),
+        tree AS MATERIALIZED (SELECT * FROM node),
+        subroot AS MATERIALIZED (
+            SELECT lang, level AS height, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+        upper_node AS (
+            SELECT 0 AS level, i, n, subroot AS digest FROM subroot
+            UNION ALL
+            SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY i)) FROM upper_node WHERE n > 1 GROUP BY level, i // 2, n),
+        forest AS MATERIALIZED (SELECT * FROM upper_node),
+        root AS (SELECT level AS height, digest AS root FROM forest WHERE n = 1),
+        step AS (
+            SELECT l.doc_id, l.lang, l.i AS leaf_i, t.level, t.i % 2 AS odd, s.digest AS other
+            FROM leaves l JOIN tree t ON t.lang IS NOT DISTINCT FROM l.lang AND t.i = l.i >> t.level AND t.n > 1
+            LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM l.lang AND s.level = t.level AND s.i = xor(t.i, 1)
+            UNION ALL
+            SELECT l.doc_id, l.lang, l.i, r.height + f.level, f.i % 2, s.digest
+            FROM leaves l JOIN subroot r ON r.lang IS NOT DISTINCT FROM l.lang
+            JOIN forest f ON f.i = r.i >> f.level AND f.n > 1
+            LEFT JOIN forest s ON s.level = f.level AND s.i = xor(f.i, 1)),
+        proof AS MATERIALIZED (
+            SELECT lang, leaf_i, list({'odd': odd, 'other': other} ORDER BY level) AS steps, sha256(coalesce(string_agg(other, '' ORDER BY level), '')) AS proof_sha256
+            FROM step GROUP BY lang, leaf_i),
+        folded AS (
+            SELECT l.lang, l.i, 1 AS k, coalesce(l.claim, l.leaf) AS digest, p.steps FROM leaves l LEFT JOIN proof p ON p.lang IS NOT DISTINCT FROM l.lang AND p.leaf_i = l.i
+            UNION ALL
+            SELECT lang, i, k + 1, sha256(CASE WHEN steps[k].other IS NULL THEN digest WHEN steps[k].odd = 1 THEN steps[k].other || digest ELSE digest || steps[k].other END), steps
+            FROM folded WHERE k <= coalesce(len(steps), 0))
+        SELECT l.doc_id, l.leaf, r.subroot, t.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = t.root AS verified
+        FROM leaves l JOIN folded f ON f.lang IS NOT DISTINCT FROM l.lang AND f.i = l.i AND f.k = coalesce(len(f.steps), 0) + 1
+        JOIN subroot r ON r.lang IS NOT DISTINCT FROM l.lang LEFT JOIN proof p ON p.lang IS NOT DISTINCT FROM l.lang AND p.leaf_i = l.i CROSS JOIN root t
+    """,
 }
