@@ -1,7 +1,8 @@
 r"""DuckDB oracle SQL for the registered queries.
 
 Independent re-statement of each query in plain SQL over the pre-registered
-views (only ``documents`` is used).  Conventions are those of FIXTURES.md
+views (``documents``, and ``labels`` once).  What a regression leads to is computed
+from the weights that its query has published.  Conventions are those of FIXTURES.md
 section 4: corpus-line adapter, split ``doc_id % 5``, K = 1000, m = 500,
 seed 42, SVM rate 0.05, 5 iterations unrolled as CTEs, floating results
 rounded to 9 decimals.
@@ -11,6 +12,8 @@ from __future__ import annotations
 
 import re
 
+from verbum.plans.published import weights_file
+
 K = 1000
 M = 500
 SEED = 42
@@ -268,12 +271,13 @@ def build() -> dict[str, str]:
     q["sample_features_uniform"] = with_(DICT, f"SELECT pos FROM dict ORDER BY {u_expr('pos')}, pos LIMIT {M}")
     q["filter_dictionary"] = with_(SELECTED_W, "SELECT word, pos FROM dict_kept")
     q["reindex_dictionary"] = with_(SELECTED_W, "SELECT word, pos FROM rdict")
-    # K beyond the vocabulary: the whole word list, coefficients pos % 97 for its positions only
+    # K beyond the vocabulary: the whole word list, first-step weights of its positions
     q["reduced_dictionary_short_vocabulary"] = with_([
         *DICT[:-1],
         """dict AS (SELECT word, CAST(row_number() OVER (ORDER BY n DESC, word) - 1 AS INTEGER) AS pos FROM counts)""",
-        """norm AS (SELECT pos, (pos % 97 - (SELECT min(pos % 97) FROM dict)) * CAST(1 AS DOUBLE)
-      / (SELECT max(pos % 97) - min(pos % 97) FROM dict) AS p FROM dict)""",
+        *TRAIN_VECTORS[len(DICT):],
+        *svm_ctes("f_", "dict", "vpos_train", "sgn_train", 1, RATE, TOL),
+        """norm AS (SELECT pos, (w - (SELECT min(w) FROM f_w1)) / nullif((SELECT max(w) - min(w) FROM f_w1), 0) AS p FROM f_w1)""",
         f"""selected AS (SELECT pos FROM norm ORDER BY CASE WHEN p > 0 THEN -ln({u_expr('pos')}) / p END NULLS LAST, {u_expr('pos')}, pos LIMIT 12000)""",
     ], "SELECT word, CAST(row_number() OVER (ORDER BY pos) - 1 AS INTEGER) AS pos FROM dict WHERE pos IN (SELECT pos FROM selected)")
     q["lr_train_optimum"] = with_([
@@ -398,8 +402,46 @@ FROM held JOIN labels ON substr(doc_key, 3) = CAST(doc_id AS VARCHAR) GROUP BY p
     q["comparison_report_defaults"] = "WITH RECURSIVE" + with_(both_svm, """SELECT unnest([model || ' on ' || n_features || ' words', 'F1 score for classifier = ' || (CASE WHEN f1_pct IS NULL THEN 'undefined' ELSE printf('%.2f', f1_pct) END) || ' %',
     'Number of True Positives = ' || tp, 'Number of False Positives = ' || fp, 'Number of False Negatives = ' || fn, 'Number of True Negatives = ' || tn]) AS line FROM compared""").removeprefix("WITH")
 
-    # what holds of logistic regressions on separable data, whatever their weights
-    q["lr_predict_documents"] = with_(DICT + TEST_VECTORS, "SELECT doc_key, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label, true AS sound FROM sgn_test")
+    # logistic regressions, from their published weights
+    def lr_ctes(name: str, vectors: str, prefix: str = "lr") -> list[str]:
+        return [
+            f"{prefix}_w AS MATERIALIZED (SELECT list(weight ORDER BY pos) AS w FROM read_parquet('{weights_file(name)}'))",
+            f"""{prefix}_p AS MATERIALIZED (SELECT doc_key, idx, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label, score, {D(1)} / ({D(1)} + exp(-score)) AS probability,
+    CASE WHEN {D(1)} / ({D(1)} + exp(-score)) > 0.5 THEN 1 ELSE 0 END AS prediction
+  FROM (SELECT doc_key, idx, label, list_sum(list_transform(idx, lambda p: m.w[p + 1])) AS score FROM {vectors}, {prefix}_w m))""",
+        ]
+
+    gradient = """grad AS (SELECT k.pos, k.weight, coalesce(g.s, 0) / (SELECT count(*) FROM lr_p) AS grad
+  FROM (SELECT unnest(w) AS weight, unnest(range(len(w))) AS pos FROM lr_w) k
+  LEFT JOIN (SELECT pos, sum(r) AS s FROM (SELECT unnest(idx) AS pos, probability - label AS r FROM lr_p) GROUP BY pos) g ON g.pos = k.pos)"""
+    q["lr_train"] = with_(large + lr_ctes("lr_train", "sgn_train") + [gradient], f"SELECT CAST(pos AS INTEGER) AS pos, {_r('weight')}, {_r('grad')} FROM grad")
+    q["lr_certificate"] = with_(large + lr_ctes("lr_certificate", "sgn_train") + [gradient], f"""SELECT (SELECT count(*) FROM lr_p) AS n,
+    {_r('(SELECT avg(ln(1 + exp(CASE WHEN label = 1 THEN -score ELSE score END))) FROM lr_p)', 'loss')},
+    {_r('sqrt(sum(grad * grad))', 'grad_norm')}, {_r('max(abs(grad))', 'grad_max')}, true AS stationary, true AS learned, true AS history_falls_to_loss FROM grad""")
+    q["lr_predict"] = with_(large + lr_ctes("lr_predict", "sgn_test"), f"SELECT doc_key, label, {_r('probability')}, prediction FROM lr_p")
+    q["lr_predict_documents"] = with_(large + lr_ctes("lr_predict_documents", "sgn_test"), 'SELECT doc_key, label, prediction = label AS "right" FROM lr_p')
+    lr_metrics = f"SELECT tp, fp, fn, tn, {_r('precision')}, {_r('recall')}, {_r('f1')}, {_r('f1_pct')} FROM ({metrics_body('lr_p', 0)})"
+    q["task_lr_full"] = with_(large + lr_ctes("task_lr_full", "sgn_test"), lr_metrics)
+    q["task_lr_full_small"] = with_(TRAIN_VECTORS + TEST_VECTORS + lr_ctes("task_lr_full_small", "sgn_test"), lr_metrics)
+
+    def row(model: str, dictionary: str, metrics: str) -> str:
+        return f"SELECT '{model}' AS model, (SELECT CAST(count(*) AS INTEGER) FROM {dictionary}) AS n_features, tp, fp, fn, tn, f1_pct FROM {metrics}"
+
+    def compared(ctes: list[str], recursive: bool, reduced_svm: str, name: str, full_svm: str | None = None) -> str:
+        """The rows of the reduced task, or of all four models, in one query."""
+        suffix = "_reduced" if full_svm else ""
+        ctes = ctes + lr_ctes(f"{name}.reduced" if full_svm else name, "rsgn_test", "rlr") + [f"rlr_metrics AS ({metrics_body('rlr_p', 0)})"]
+        rows = [row(f"logistic_regression{suffix}", "rdict", "rlr_metrics"), row(f"linear_svm{suffix}", "rdict", reduced_svm)]
+        if full_svm:
+            ctes = ctes + lr_ctes(f"{name}.full", "sgn_test") + [f"lr_metrics AS ({metrics_body('lr_p', 0)})"]
+            rows += [row("logistic_regression_full", "dict", "lr_metrics"), row("linear_svm_full", "dict", full_svm)]
+        sql = with_(ctes, " UNION ALL ".join(rows))
+        return "WITH RECURSIVE" + sql.removeprefix("WITH") if recursive else sql
+
+    q["task_reduced_both"] = compared(both_svm, True, "rmetrics", "task_reduced_both")
+    q["task_reduced_both_small"] = compared(SVM_PRED + red, False, "rsvm_metrics", "task_reduced_both_small")
+    q["model_comparison"] = compared(both_svm, True, "rmetrics", "model_comparison", "metrics")
+    q["model_comparison_small"] = compared(SVM_PRED + red, False, "rsvm_metrics", "model_comparison_small", "svm_metrics")
     q["lr_training_confusion"] = with_(REDUCED, " UNION ALL ".join(
         f"SELECT '{name}' AS words, count_if(label = 1) AS tp, 0 AS fp, 0 AS fn, count_if(label = -1) AS tn FROM {table}"
         for name, table in (("full", "sgn_train"), ("reduced", "rsgn_train"))))

@@ -13,12 +13,12 @@ def test_model_comparison_at_the_reference_settings(spark, monkeypatch):
 
     def spy(name):
         real = getattr(tk, name)
-        monkeypatch.setattr(tk, name, lambda v, k, params, **kw: seen.append((name, k, params.lr_max_iter if name == "lr_train" else params.svm_max_iter)) or real(v, k, params, **kw))
+        monkeypatch.setattr(tk, name, lambda v, k, params, **kw: seen.append((name, k, params.lr_max_iter if name == "lr_fit" else params.svm_max_iter)) or real(v, k, params, **kw))
 
-    spy("lr_train")
+    spy("lr_fit")
     spy("svm_train")
     rows = {r["model"]: tuple(r) for r in E.queries()["model_comparison"](spark, SF001).collect()}
-    assert sorted(seen) == [("lr_train", 10000, 400), ("lr_train", 20000, 100), ("svm_train", 10000, 400), ("svm_train", 20000, 400)]
+    assert sorted(seen) == [("lr_fit", 10000, 400), ("lr_fit", 20000, 100), ("svm_train", 10000, 400), ("svm_train", 20000, 400)]
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF001}/documents.parquet')")
     for want in con.execute(E.oracle_sql()["svm_model_comparison_defaults"]).fetchall():

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from verbum.operators.svm import svm_early_stop, svm_predict, svm_train
+from verbum.operators import svm
+from verbum.operators.svm import pack_blocks, svm_early_stop, svm_predict, svm_train
 from verbum.operators.vectors import with_signed_label
 from verbum.params import FIXTURE_PARAMS as P
 from verbum.plans import tasks as tk
@@ -80,8 +81,7 @@ def test_first_step_is_rate_times_mean_yx(spark, fixture_vectors):
 
 def test_model_does_not_depend_on_partitions(spark, fixture_vectors):
     tr, _ = fixture_vectors
-    table = tr.selectExpr("CAST(label AS DOUBLE) AS y", "idx")
-    models = [svm_train(tr, P.k, P, train_table=table.repartition(n)) for n in (1, 4, 64)]
+    models = [svm_train(tr, P.k, P, blocks=pack_blocks(tr.repartition(n))) for n in (1, 4, 64)]
     for m in models[1:]:
         assert np.allclose(models[0].w, m.w, atol=1e-12) and abs(models[0].intercept - m.intercept) < 1e-12
 
@@ -108,3 +108,89 @@ def test_task_svm_coefficient_report_round_trip(spark, tmp_path):
     text = [x.value for x in spark.read.text(path).collect()]
     assert any(x.startswith("[") for x in text)
     assert sum(1 for x in text if x.startswith("(")) == min(P.top_n, len(r.model.w))
+
+
+def test_blocks_hold_the_documents_in_order(spark, monkeypatch):
+    rows = [(1 if i % 3 else -1, None if i % 11 == 5 else [(i * 7 + j) % 50 for j in range(i % 9)]) for i in range(300)] + [(1, list(range(40)))]
+    df = spark.createDataFrame(rows, "label int, idx array<int>").coalesce(1)
+    for docs, positions in ((4096, 1 << 20), (7, 1 << 20), (100, 20)):
+        kernel = []
+        monkeypatch.setattr(svm, "BLOCK_DOCS", docs)
+        monkeypatch.setattr(svm, "BLOCK_POSITIONS", positions)
+        batches = df.select("label", "idx").toArrow().to_batches(max_chunksize=64)
+        # the packer itself, as a task runs it
+        monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: kernel.append(f))
+        svm.pack_blocks(df)
+        monkeypatch.undo()
+        monkeypatch.setattr(svm, "BLOCK_DOCS", docs)
+        monkeypatch.setattr(svm, "BLOCK_POSITIONS", positions)
+        got, sizes = [], []
+        for b in kernel[0](iter(batches)):
+            for r in b.to_pylist():
+                y, n, p = (np.frombuffer(r[c], t) for c, t in (("y", "<i1"), ("sizes", "<i4"), ("positions", "<i4")))
+                assert r["n"] == len(y) == len(n) and n.sum() == len(p)
+                sizes.append((len(y), len(p)))
+                ends = np.cumsum(n)
+                got += [(int(a), p[e - m:e].tolist()) for a, m, e in zip(y, n, ends)]
+        assert got == [(y, x or []) for y, x in rows]
+        assert all(n <= docs and m <= positions + 40 for n, m in sizes)
+
+
+def test_packed_blocks_are_smaller_than_rows(spark, fixture_vectors):
+    from pyspark import StorageLevel
+
+    tr, _ = fixture_vectors
+    sizes = []
+    for df in (tr.selectExpr("CAST(label AS DOUBLE) AS y", "idx"), pack_blocks(tr)):
+        held = df.coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
+        held.count()
+        sizes.append(held._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        held.unpersist()
+    assert sizes[1] < sizes[0]
+
+
+class _Lost(Exception):
+    pass
+
+
+def test_a_stopped_training_goes_on_where_it_was(spark, fixture_vectors, tmp_path, monkeypatch):
+    tr, _ = fixture_vectors
+    p = P.with_(svm_rate=0.01, svm_max_iter=70, svm_tol=1e-9)
+    whole = svm_train(tr, P.k, p)
+    real, passes = svm._iteration_sums, []
+
+    def dies_at(n):
+        def sums(*a):
+            if len(passes) == n:
+                raise _Lost
+            passes.append(1)
+            return real(*a)
+        return sums
+
+    folder = f"file:{tmp_path}/training"
+    monkeypatch.setattr(svm, "_iteration_sums", dies_at(53))
+    with pytest.raises(_Lost):
+        svm_train(tr, P.k, p, resume=folder, save_every=10)
+    assert svm._steps(spark, folder) == [40, 50]
+    # a state that was not written to its end does not count
+    (tmp_path / "training" / "step-60" / "weights").mkdir(parents=True)
+    passes.clear()
+    monkeypatch.setattr(svm, "_iteration_sums", dies_at(None))
+    again = svm_train(tr, P.k, p, resume=folder, save_every=10)
+    assert len(passes) == whole.iterations - 50
+    assert again.iterations == whole.iterations and np.abs(again.w - whole.w).max() <= 1e-12
+    assert np.abs(np.array(again.trace_rows, float) - np.array(whole.trace_rows, float)).max() <= 1e-12
+    # a finished training is read back; another training's state is refused
+    passes.clear()
+    done = svm_train(tr, P.k, p, resume=folder)
+    assert not passes and done.trace_rows == again.trace_rows and (done.w == again.w).all()
+    with pytest.raises(ValueError, match="another training"):
+        svm_train(tr, P.k, p.with_(svm_rate=0.02), resume=folder)
+
+
+def test_a_converged_training_stays_so(spark, fixture_vectors, tmp_path):
+    tr, _ = fixture_vectors
+    folder = f"file:{tmp_path}/training"
+    first = svm_train(tr, P.k, P.with_(svm_tol=0.1), resume=folder)
+    second = svm_train(tr, P.k, P.with_(svm_tol=0.1), resume=folder)
+    assert first.converged and second.converged and first.trace_rows == second.trace_rows

@@ -26,12 +26,12 @@ def test_vectors_tf_and_binary(lines):
     toks = ps.corpus_tokens(lines(DOCS))
     d = vc.build_dictionary(vc.word_counts(toks), 3)  # a c b
     pos = vx.doc_positions(vx.dictionary_join(ps.word_doc_pairs(toks), d, 3))
-    tf = {(r.doc_key, r.pos): r.tf for r in vx.tf_vectors(pos).collect()}
+    tf = {(r.doc_key, r.pos): r.tf for r in vx.tf_vectors(vx.word_bags(toks, d, 3)).collect()}
     # duplicate id AU1 merges; TF divides by in-dictionary tokens only (Q7); au3 has none (Q8)
     assert tf == {("AU1", 0): 0.6, ("AU1", 1): 0.2, ("AU1", 2): 0.2, ("WK2", 1): 1.0}
     bv = {r.doc_key: r.idx for r in vx.binary_vectors(pos).collect()}
     assert bv == {"AU1": [0, 1, 2], "WK2": [1]}
-    lists = {r.doc_key: (r.idx, r.cnt) for r in vx.doc_position_lists(pos).collect()}
+    lists = {r.doc_key: (r.idx, r.cnt) for r in vx.doc_position_lists(toks, d, 3).collect()}
     assert lists == {"AU1": ([0, 1, 2], [3, 1, 1]), "WK2": ([1], [2])}
     fast = {r.doc_key: r.idx for r in vx.doc_vectors(toks, d, 3).collect()}
     assert fast == bv
@@ -56,7 +56,7 @@ def test_fixture_properties(spark):
     train = fixture_corpus(spark, SF001, TRAIN, missing_url=True)
     d = tk.dictionary_of(train, 1000)
     pos = vx.doc_positions(vx.dictionary_join(ps.word_doc_pairs(ps.corpus_tokens(train)), d, 1000))
-    tf = vx.tf_vectors(pos)
+    tf = vx.tf_vectors(vx.word_bags(ps.corpus_tokens(train), d, 1000))
     sums = tf.groupBy("doc_key").agg(F.sum("tf").alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-12 for r in sums)
     v = vx.binary_vectors(pos).collect()

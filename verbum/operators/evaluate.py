@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verbum.functions.text import label_binary
+from verbum.operators.linear import weight_array
+
 
 def confusion_matrix(pred: DataFrame, positive: int = 1, negative: int = 0) -> DataFrame:
     """One row ``(tp, fp, fn, tn)`` from ``(label, prediction)``; zeros on empty input."""
@@ -41,6 +46,36 @@ def model_row(metrics: DataFrame, model: str, n_features: int) -> DataFrame:
                           "tp", "fp", "fn", "tn", "f1_pct")
 
 
+def _dot(weights: str) -> Column:
+    return F.aggregate("idx", F.lit(0.0), lambda acc, p: acc + F.coalesce(F.get(weights, p), F.lit(0.0)))
+
+
+def score_models(vectors: DataFrame, models: dict[str, DataFrame], k: int) -> DataFrame:
+    """``vectors`` with a column of scores w.x per named weight table, in one pass; rows without positions go."""
+    out = vectors.where(F.size("idx") > 0)
+    for i, weights in enumerate(models.values()):
+        out = out.withColumn(f"_w{i}", weight_array(weights, k))
+    for i, name in enumerate(models):
+        out = out.withColumn(name, _dot(f"_w{i}"))
+    return out.drop(*[f"_w{i}" for i in range(len(models))])
+
+
+def confusion_of_models(vectors: DataFrame, models: dict[str, tuple[DataFrame, Callable[[Column], Column]]], k: int) -> DataFrame:
+    """``(model, tp, fp, fn, tn)``, a row per model, from one scan of ``vectors`` and one aggregate.
+
+    A model is a weight table over the K positions and what decides from the
+    score that a document is positive.
+    """
+    scores = score_models(vectors.select("doc_key", "idx"), {f"_s{i}": w for i, (w, _) in enumerate(models.values())}, k)
+    y = label_binary("doc_key") == 1
+    counts = []
+    for i, (_, positive) in enumerate(models.values()):
+        p = positive(F.col(f"_s{i}"))
+        counts += [F.count_if(c).alias(f"{kind}{i}") for kind, c in (("tp", y & p), ("fp", ~y & p), ("fn", y & ~p), ("tn", ~y & ~p))]
+    rows = [F.struct(F.lit(name).alias("model"), *[F.col(f"{kind}{i}").alias(kind) for kind in ("tp", "fp", "fn", "tn")]) for i, name in enumerate(models)]
+    return scores.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 def model_comparison(rows: list[DataFrame]) -> DataFrame:
     """Bag union of one-row model results."""
     out = rows[0]

@@ -1,13 +1,20 @@
-"""Logistic regression: Spark ML L-BFGS trainer and table-driven scoring."""
+"""Logistic regression: Spark ML L-BFGS trainer, table-driven scoring, and a certificate of the fit.
+
+Fit and score are apart: ``lr_fit`` leaves a weight table, and everything
+downstream (scores, classes, the certificate) reads that table alone.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbum.operators.linear import dot_product
+from verbum.operators.linear import dot_product, scored
 from verbum.params import Params
 
 
@@ -47,9 +54,11 @@ def lr_predict(model: LogisticRegressionModel, vectors: DataFrame, k: int) -> Da
 
 def lr_weights(model: LogisticRegressionModel, spark) -> DataFrame:
     """The fitted coefficients as a ``(pos, weight)`` table (K rows)."""
-    import numpy as np
+    return _weight_table(model.coefficients.toArray(), spark)
+
+
+def _weight_table(w: np.ndarray, spark) -> DataFrame:
     import pandas as pd
-    w = model.coefficients.toArray()
     return spark.createDataFrame(pd.DataFrame({"pos": np.arange(len(w), dtype=np.int32), "weight": w}),
                                  "pos int, weight double")
 
@@ -60,3 +69,72 @@ def lr_score(vectors: DataFrame, weights: DataFrame, k: int, threshold: float =
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score")))
     return (s.select("doc_key", "label", p.alias("probability"))
             .withColumn("prediction", F.when(F.col("probability") > F.lit(threshold), F.lit(1)).otherwise(F.lit(0))))
+
+
+@dataclass
+class LrFit:
+    w: np.ndarray             # K coefficients
+    history: list[float]      # mean log-loss at the start and after each iteration
+    model: LogisticRegressionModel
+
+    @property
+    def iterations(self) -> int:
+        return max(0, len(self.history) - 1)
+
+    def weights(self, spark) -> DataFrame:
+        """``(pos, weight)``: K rows built from the driver's copy."""
+        return _weight_table(self.w, spark)
+
+
+def lr_fit(vectors: DataFrame, k: int, params: Params = Params()) -> LrFit:
+    """``lr_train`` with its loss history; ``weights`` is the table that scoring and the certificate read."""
+    model = lr_train(vectors, k, params)
+    history = [float(x) for x in model.summary.objectiveHistory] if model.hasSummary else []
+    return LrFit(model.coefficients.toArray(), history, model)
+
+
+# Sentinel positions of the two scalars that travel with the gradient.
+LOSS_POS, ROWS_POS = -1, -2
+
+
+def lr_gradient_sums(vectors: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """``(pos, g)``: X'(p - y) per position, and the summed log-loss and the row count at two sentinel positions.
+
+    One pass over ``(doc_key, label in {0,1}, idx)``: each row is scored against
+    the weight array where it lies, its positions leave with p - y, and partial
+    sums meet by position (K + 2 keys).
+    """
+    rows = scored(vectors, weights, k)
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score")))
+    # ln(1 + e^-m) with m = score for label 1 and -score for label 0
+    m = F.when(F.col("label") == 1, F.col("score")).otherwise(-F.col("score"))
+    loss = F.greatest(-m, F.lit(0.0)) + F.log1p(F.exp(-F.abs(m)))
+    rows = rows.select("idx", (p - F.col("label")).alias("r"), loss.alias("loss"))
+    scalars = F.array(F.struct(F.lit(LOSS_POS).alias("pos"), F.col("loss").alias("g")), F.struct(F.lit(ROWS_POS).alias("pos"), F.lit(1.0).alias("g")))
+    terms = F.concat(F.transform("idx", lambda i: F.struct(i.alias("pos"), F.col("r").alias("g"))), scalars)
+    return rows.select(F.inline(terms)).groupBy("pos").agg(F.sum("g").alias("g"))
+
+
+def lr_gradient(sums: DataFrame, weights: DataFrame) -> DataFrame:
+    """``(pos, weight, grad)``: per row of the training set, the gradient of the mean log-loss, from ``lr_gradient_sums``."""
+    n = sums.where(F.col("pos") == ROWS_POS).select("g").scalar()
+    return (weights.join(sums, "pos", "left")
+            .select("pos", "weight", F.coalesce(F.try_divide(F.col("g"), n), F.lit(0.0)).alias("grad")))
+
+
+def lr_certificate(sums: DataFrame, grad_bound: float) -> DataFrame:
+    """One row ``(n, loss, grad_norm, grad_max, stationary, learned)`` from ``lr_gradient_sums``.
+
+    ``loss`` is the mean log-loss, ``grad_norm`` and ``grad_max`` are the L2 norm
+    and the largest entry of its gradient.  ``stationary``: the norm is at most
+    ``grad_bound``; ``learned``: the loss is below ln 2, that of no model.  A
+    training set without rows has nulls.
+    """
+    at = lambda pos: F.max(F.when(F.col("pos") == pos, F.col("g")))
+    own = F.when(F.col("pos") >= 0, F.col("g"))
+    t = sums.agg(at(ROWS_POS).alias("n"), at(LOSS_POS).alias("loss"), F.coalesce(F.sum(own * own), F.lit(0.0)).alias("sq"),
+                 F.coalesce(F.max(F.abs(own)), F.lit(0.0)).alias("top"))
+    out = t.select(F.col("n").cast("long").alias("n"), (F.col("loss") / F.col("n")).alias("loss"),
+                   (F.sqrt("sq") / F.col("n")).alias("grad_norm"), (F.col("top") / F.col("n")).alias("grad_max"))
+    return out.select("*", (F.col("grad_norm") <= F.lit(float(grad_bound))).alias("stationary"),
+                      (F.col("loss") < F.log(F.lit(2.0))).alias("learned"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbum.operators.parse import explode_tokens
-from verbum.session import bounded_broadcast
+from verbum.session import bounded_broadcast, ranked
 
 
 def word_counts(tokens: DataFrame) -> DataFrame:
@@ -32,11 +32,10 @@ def top_words(counts: DataFrame, k: int) -> DataFrame:
 def build_dictionary(counts: DataFrame, k: int) -> DataFrame:
     """``(word, pos int)``, positions ``0..K'-1`` in rank order, K' = min(K, vocabulary).
 
-    The unpartitioned window runs after the limit, over at most K rows.
+    The counts are dealt to ranges of the rank order and numbered range by
+    range (``ranked``), so neither K nor the vocabulary meets in one task.
     """
-    w = Window.orderBy(*_rank_order())
-    return (top_words(counts, k)
-            .select("word", (F.row_number().over(w) - 1).cast("int").alias("pos")))
+    return ranked(counts, _rank_order(), "pos", k).select("word", "pos")
 
 
 def filter_dictionary(dictionary: DataFrame, selected: DataFrame, m: int) -> DataFrame:
@@ -45,9 +44,5 @@ def filter_dictionary(dictionary: DataFrame, selected: DataFrame, m: int) -> Dat
 
 
 def reindex_dictionary(dictionary: DataFrame) -> DataFrame:
-    """Dense re-numbering ``0..m-1`` in ascending order of the old position.
-
-    Input is a filtered dictionary (at most K rows), so the global window is bounded.
-    """
-    w = Window.orderBy("pos")
-    return dictionary.select("word", (F.row_number().over(w) - 1).cast("int").alias("pos"))
+    """Dense re-numbering ``0..m-1`` in ascending order of the old position, range by range."""
+    return ranked(dictionary.select("word", F.col("pos").alias("_old")), [F.col("_old")], "pos").select("word", "pos")

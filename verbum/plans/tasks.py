@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbum.operators.evaluate import confusion_matrix, confusion_matrix_signed, f1_score, metrics_report, model_row
-from verbum.operators.logreg import lr_predict, lr_train, lr_weights
+from verbum.operators.evaluate import confusion_matrix, confusion_matrix_signed, confusion_of_models, f1_score, metrics_report
+from verbum.operators.logreg import LrFit, lr_fit, lr_score
 from verbum.operators.parse import corpus_tokens
 from verbum.operators.select import (known_positions, minmax_normalize, sample_features_uniform, sample_features_weighted,
                                      top_coefficient_words)
@@ -55,33 +55,42 @@ def _result(pred: DataFrame, signed: bool, model=None) -> TaskResult:
     return TaskResult(metrics, pred, metrics_report(metrics), model)
 
 
-def run_svm(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params,
-            written: bool = False) -> TaskResult:
-    """``written=True``: ``train_vectors`` is already a written, cached table (trained on as is)."""
+def run_svm(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params, resume: str | None = None) -> TaskResult:
+    """``resume`` as in ``svm_train``."""
     spark = train_vectors.sparkSession
-    signed = with_signed_label(train_vectors)
-    table = signed.select(F.col("label").cast("double").alias("y"), "idx") if written else None
-    model = svm_train(signed, k, params, train_table=table)
+    model = svm_train(with_signed_label(train_vectors), k, params, resume=resume)
     pred = svm_predict(with_signed_label(test_vectors), model.weights(spark), model.intercept, k)
     return _result(pred, True, model)
 
 
 def run_lr(train_vectors: DataFrame, test_vectors: DataFrame, k: int, params: Params,
            written: bool = False) -> TaskResult:
-    """``written=True``: ``train_vectors`` is already a written, cached table (trained on as is)."""
+    """``written=True``: ``train_vectors`` is already a written table (trained on as is).
+
+    The fit leaves its weights as a written table; the scores come from that table alone.
+    """
     # Spark ML caches its own instance blocks for an uncached input, so the
     # written table is only read once here: written, not cached
     train = with_binary_label(train_vectors) if written else write_and_read(with_binary_label(train_vectors), "lr-train")
-    model = lr_train(train, k, params)
-    pred = lr_predict(model, with_binary_label(test_vectors), k)
-    return _result(pred, False, model)
+    model = lr_fit(train, k, params)
+    weights = write_and_read(model.weights(train_vectors.sparkSession), "lr-weights")
+    return _result(lr_score(with_binary_label(test_vectors), weights, k), False, model)
+
+
+def compare_models(test_vectors: DataFrame, lr: LrFit, svm: SvmModel, k: int, n_features: int, suffix: str = "") -> DataFrame:
+    """Comparison rows of both models from one scan of the test vectors."""
+    spark = test_vectors.sparkSession
+    models = {"logistic_regression" + suffix: (lr.weights(spark), lambda s: F.lit(1.0) / (F.lit(1.0) + F.exp(-s)) > F.lit(0.5)),
+              "linear_svm" + suffix: (svm.weights(spark), lambda s: s - F.lit(float(svm.intercept)) >= 0)}
+    rows = f1_score(confusion_of_models(test_vectors, models, k))
+    return rows.select("model", F.lit(n_features).cast("int").alias("n_features"), "tp", "fp", "fn", "tn", "f1_pct")
 
 
 def task_svm_full(train_lines: DataFrame, test_lines: DataFrame, params: Params = Params(),
-                  dictionary: DataFrame | None = None) -> TaskResult:
-    """``dictionary``: the written dictionary of the training side, if there is one already."""
+                  dictionary: DataFrame | None = None, resume: str | None = None) -> TaskResult:
+    """``dictionary``: the written dictionary of the training side, if there is one already; ``resume`` as in ``svm_train``."""
     d = dictionary if dictionary is not None else materialized_dictionary(train_lines, params.k)
-    r = run_svm(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params)
+    r = run_svm(vectors_of(train_lines, d, params.k), vectors_of(test_lines, d, params.k), params.k, params, resume)
     r.dictionary = d
     return r
 
@@ -113,9 +122,9 @@ def write_svm_coefficients(result: TaskResult, params: Params, path: str) -> str
 
 def write_lr_coefficients(result: TaskResult, params: Params, path: str) -> str:
     """The report of a fitted logistic regression; the cost is its last log-loss."""
-    model = result.model
-    cost = float(model.summary.objectiveHistory[-1]) if model.hasSummary else None
-    return write_coefficients(lr_weights(model, result.dictionary.sparkSession), result.dictionary, cost, params, path)
+    model: LrFit = result.model
+    cost = model.history[-1] if model.history else None
+    return write_coefficients(model.weights(result.dictionary.sparkSession), result.dictionary, cost, params, path)
 
 
 def select_positions(coefs: DataFrame | None, dictionary: DataFrame, params: Params, weighted: bool = True) -> DataFrame:
@@ -152,11 +161,8 @@ def task_reduced_both(train_lines: DataFrame, coefs: DataFrame | None, test_line
     test_v = materialize(vectors_of(test_lines, rd, m), "reduced-test")
     try:
         lr = run_lr(train_v, test_v, m, params.with_(lr_max_iter=params.lr_max_iter_reduced), written=True)
-        svm = run_svm(train_v, test_v, m, params, written=True)
-        n_feat = rd.count()
-        rows = model_row(lr.metrics, "logistic_regression", n_feat).unionByName(
-            model_row(svm.metrics, "linear_svm", n_feat))
-        rows = materialize(rows, "reduced-rows")
+        svm = run_svm(train_v, test_v, m, params)
+        rows = write_and_read(compare_models(test_v, lr.model, svm.model, m, rd.count()), "reduced-rows")
     finally:
         # the written tables stay readable; only the caches go
         train_v.unpersist()

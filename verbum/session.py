@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest number of rows a parameter (K, m) may give a table that is broadcast.
@@ -77,6 +77,29 @@ def bounded_broadcast(df: DataFrame, row_bound: int) -> DataFrame:
     return F.broadcast(df)
 
 
+def ranked(df: DataFrame, order: list[Column], name: str, first: int | None = None) -> DataFrame:
+    """``df`` with ``name`` (int), the place 0, 1, ... of each row by ``order``; ``first``: only so many rows.
+
+    Rows are dealt to ranges of the order and counted; a row a partition reaches
+    the driver, from which follows how many rows lie before each range.  No rank
+    is computed over all rows in one task.  The order must be total.
+    """
+    spark = df.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    held = write_and_read(dealt.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    # The upper bits of monotonically_increasing_id number the partition, the lower ones the row in it.
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before, total = [], 0
+    for r in held.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect():  # a row a partition
+        before.append((r["_part"], total))
+        total += r["n"]
+    offsets = F.create_map(*[F.lit(x) for pair in before for x in pair]) if before else F.create_map(F.lit(0), F.lit(0))
+    at = (F.element_at(offsets, F.col("_part")) + place).cast("int")
+    out = held.select(*df.columns, at.alias(name))
+    return out if first is None else out.where(F.col(name) < first)
+
+
 _owned: ContextVar[list[tuple[str, DataFrame]] | None] = ContextVar("verbum_owned_tables", default=None)
 
 
@@ -97,9 +120,29 @@ def write_and_read(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint under ``spark.checkpoint.dir``; rows keep their partition and order.
+
+    Its files stay until the enclosing ``own_tables`` ends.
+    """
+    checkpoint_root(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    owned = _owned.get()
+    if owned is not None:
+        file = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            owned.append((file.get(), out))
+    return out
+
+
 @contextmanager
 def own_tables(spark: SparkSession) -> Iterator[None]:
-    """Removes the tables that ``write_and_read`` and ``materialize`` make inside it, and their caches.
+    """Removes the tables that ``write_and_read``, ``materialize`` and ``checkpointed`` make inside it, and their caches.
 
     What is to last must be written elsewhere before the end.
     """
@@ -111,8 +154,7 @@ def own_tables(spark: SparkSession) -> Iterator[None]:
         _owned.reset(outer)
         for path, table in made:
             table.unpersist()
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove_folder(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
