@@ -17,7 +17,7 @@ from verbum.llm.mixing import mixed
 from verbum.llm.packing import pack
 from verbum.llm.quality import keep_good
 from verbum.llm.simhash import keep_one
-from verbum.session import checkpoint_root
+from verbum.session import checkpoint_root, own_tables, remove_folder
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,15 +47,24 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]
 
-# A trained network, tokens and a random mix: not for SQL; tests/llm holds every stage against brute force.
+# A trained network, tokens and a random mix: not for SQL; tests/llm/test_pipeline.py holds each stage's rows against plain Python.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``."""
+    """All stages in order over ``documents``.
+
+    What a stage makes on the way, and the result of the stage before, go once
+    its own result is written; the last one's files stay for the reader.
+    """
     docs = table(spark, sf_dir, "documents")
-    folder = f"{checkpoint_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    root = f"{checkpoint_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        with own_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
+        if before is not None:
+            remove_folder(spark, before)
+        before = f"{root}/{name}"
+        docs = spark.read.parquet(before)
     return docs
