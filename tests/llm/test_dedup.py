@@ -122,6 +122,26 @@ def test_components_of_a_path(spark):
     assert got == {i: 0 if i < 100 else 100 for i in range(201) if i != 99} | {99: 0}
 
 
+def test_one_large_class_is_spread(spark, tmp_path):
+    """Nine tenths of the values in one class, one value with very many neighbours: no task gets most rows of a stage."""
+    links = spark.range(1, 901).selectExpr("id AS a", "id div 30 AS b").unionAll(spark.range(1, 300).selectExpr("id + 20000 AS a", "20000L AS b")).unionAll(spark.range(50).selectExpr("30000 + 2 * id AS a", "30001 + 2 * id AS b"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        labels = simhash.components(links)
+        got = {r["x"]: r["root"] for r in labels.collect()}
+        one = spark.range(900).selectExpr("id AS fp", "IF(id < 800, 0L, id) AS root")
+        ids = one.groupBy("root").agg(F.min("fp").alias("component_id"))
+        spread = simhash.spread_join(one, ids, "root", "fp").withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(901)} | {20_000 + i: 20_000 for i in range(300)} | {30_000 + i: 30_000 + i // 2 * 2 for i in range(100)}
+    assert sum(r["count"] for r in spread) == 900 and max(r["count"] for r in spread) < 200
+
+
 def test_passages_against_brute_force(spark, monkeypatch):
     r = random.Random(5)
     words = ["w%d" % i for i in range(400)]

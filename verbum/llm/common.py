@@ -6,8 +6,9 @@ import re
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from verbum.session import checkpoint_root
+from verbum.session import checkpointed
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 BLOCK_BYTES = 1 << 22
@@ -20,11 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder; a lost executor re-reads files.
 
-    Spark removes the files when the frame is no longer referenced and
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on.
+    The files go at the end of the caller's ``own_tables``, if there is one.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
+
+
+SPREAD = 16
+
+
+def spread_join(rows: DataFrame, one: DataFrame, key: str, by: str, spread: int = SPREAD) -> DataFrame:
+    """``rows`` joined with ``one``, which has a row per ``key``; rows of one key are dealt over ``spread`` tasks by ``by``.
+
+    ``one`` is sent ``spread`` times, so it should be narrow.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(spread)).cast("int"))
+    copies = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    return salted.join(copies, [key, "_salt"]).drop("_salt")
 
 
 _held: dict[str, object] = {}

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbum.llm.common import cut, word_blocks
+from verbum.llm.common import SPREAD, cut, spread_join, word_blocks
 
 SEED = 42
 BITS = 64
@@ -127,20 +127,30 @@ def components(links: DataFrame) -> DataFrame:
     Each round lowers a value's label to the least label among its neighbours,
     hands that to the old label, and then replaces a label by its own label;
     rounds grow with the logarithm of the longest path.  Labels are written to
-    the checkpoint folder each round; only one count reaches the driver.
+    the checkpoint folder each round; only one count reaches the driver.  A
+    value's neighbours are combined in two steps, and the labels of a class are
+    handed back over several tasks, so neither many neighbours nor a large class
+    meet in one.
     """
     edges = cut(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("x"), F.least("a", "m").alias("root")))
+
+    def least_of(rows: DataFrame, value: str, name: str) -> DataFrame:
+        """(x, name): the least ``value`` of each a, in two steps."""
+        part = F.pmod(F.xxhash64("b"), F.lit(SPREAD)).cast("int").alias("part")
+        first = rows.groupBy(F.col("a").alias("x"), part).agg(F.min(value).alias("m"))
+        return first.groupBy("x").agg(F.min("m").alias(name))
+
+    labels = cut(least_of(edges, "b", "m").select("x", F.least("x", "m").alias("root")))
     while True:
         of_b = labels.select(F.col("x").alias("b"), F.col("root").alias("rb"))
-        low = edges.join(of_b, "b").groupBy(F.col("a").alias("x")).agg(F.min("rb").alias("m"))
-        lowered = labels.join(low, "x").select("x", "root", F.least("root", "m").alias("new"))
-        lowered = cut(lowered)
+        low = least_of(edges.join(of_b, "b"), "rb", "m")
+        lowered = cut(labels.join(low, "x").select("x", "root", F.least("root", "m").alias("new")))
         hooks = lowered.groupBy(F.col("root").alias("x")).agg(F.min("new").alias("h"))
-        hooked = lowered.join(hooks, "x", "left").select("x", "root", F.least("new", "h").alias("new"))
-        hooked = cut(hooked)
-        up = hooked.select(F.col("x").alias("new"), F.col("new").alias("far"))
-        jumped = cut(hooked.join(up, "new").select("x", "root", F.col("far").alias("new")))
+        hooked = cut(lowered.join(hooks, "x", "left").select("x", "root", F.least("new", "h").alias("new")))
+        # Each label's own label, a row a label; then back to all that have it.
+        own = hooked.select(F.col("x").alias("new"), F.col("new").alias("far"))
+        far = hooked.select("new").distinct().join(own, "new")
+        jumped = cut(spread_join(hooked, far, "new", "x").select("x", "root", F.col("far").alias("new")))
         changed = jumped.filter("root != new").limit(1).count()
         labels = jumped.select("x", F.col("new").alias("root"))
         if not changed:
@@ -164,13 +174,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     * ``component_id`` is the least doc_id reachable, the row's own included;
       rows with a null doc_id take part but never name a class unless it has no
       other (then null); repeated rows are returned as often as they come;
+    * a very long text is hashed some megabytes at a time;
     * an empty table gives an empty result; further columns are ignored.
     """
     fps = cut(fingerprints(docs, shingle))
     classes = cut(_classes(fps, k))
     least = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")).join(classes, "fp")
     ids = least.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_fp = cut(classes.join(ids, "root").select("fp", "component_id"))
+    of_fp = cut(spread_join(classes, ids, "root", "fp").select("fp", "component_id"))
+    # Both sides are written, so that the join can split the rows of a frequent fingerprint.
     return (fps.join(of_fp, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
@@ -179,10 +191,9 @@ def keep_one(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     """One row of each class of ``near_duplicates``, with the columns of ``docs``.
 
     The row with the least doc_id stays (null after all others; of several rows
-    with that id the one whose text has the least xxhash64, of equal rows one).
+    with that id the one whose text has the least xxhash64, of these the one
+    whose columns have the least, of equal rows one).
     """
-    from pyspark.sql import Window
-
     fps = cut(fingerprints(docs, shingle))
     classes = cut(_classes(fps, k))
     best = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("best")).join(classes, "fp")
@@ -190,5 +201,6 @@ def keep_one(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
     kept = rows.join(stays, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")), "left_semi")
-    one = kept.withColumn("k", F.row_number().over(Window.partitionBy("id", "h").orderBy(F.lit(1)))).filter("k = 1")
+    # Rows that share id and text; equal ones are combined before they meet.
+    one = kept.groupBy("id", "h").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
     return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])
