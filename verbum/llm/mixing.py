@@ -14,6 +14,10 @@ streams its rows, longest first, and leaves one fraction at most.  ``FAN`` such
 residuals meet in a node of the next level, up to the source's last one, which
 is rounded to the nearer whole.  Random numbers are seeded by source, level and
 bucket, and rows have a fixed order, so reruns agree.
+
+Equal rows (of one id, source and text) are counted in the tasks and dealt out
+again with a number of their own each, ``LEAF`` at a time, so many of them have
+many buckets too.  What a source needs is handed to its rows over several tasks.
 """
 
 from __future__ import annotations
@@ -23,16 +27,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbum.llm.common import cut
+from verbum.llm.common import cut, spread_join
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
 MOST_COPIES = 2
 LEAF, FAN = 4096, 64
-MOST_BROADCAST_SOURCES = 20_000
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _EPS = 1e-9
@@ -60,20 +63,23 @@ def count_words(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, h, size): h is the xxhash64 of the text (null: of the empty text)."""
+_KEY = ["doc_id", "source", "h", "r", "size"]
+
+
+def sized(docs: DataFrame, row_hash: Column | None = None) -> DataFrame:
+    """(doc_id, source, h, r, size): h is the xxhash64 of the text (null: of the empty text), r ``row_hash`` or 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(count_words(b.column(3)))], ["doc_id", "source", "h", "size"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), pa.array(count_words(b.column(4)))], _KEY)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
-    return rows.mapInArrow(run, "doc_id long, source string, h long, size long")
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), (F.lit(0).cast("long") if row_hash is None else row_hash).alias("r"), "text")
+    return rows.mapInArrow(run, "doc_id long, source string, h long, r long, size long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = TOTAL_SHARE, most: int = MOST_COPIES) -> DataFrame:
-    """(source, rank, n, source_size, target) from (doc_id, source, h, size).
+    """(source, rank, n, source_size, target) from rows (source, size).
 
     Sources by code point, null last, weigh ``weights`` in turn and share
     ``share`` times all words; a target stops at ``most`` times its source's
@@ -106,29 +112,31 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     return ranked.select("source", "rank", "n", "source_size", target.cast("double").alias("target"))
 
 
-_ROW = "doc_id long, h long, size long, rank long, bucket long, base long, p double"
+_ROW = "doc_id long, h long, r long, k long, size long, rank long, bucket long, source_size long, target double, base long, p double"
 _FIELDS = [f.split(" ")[0] for f in _ROW.split(", ")]
+_SIZE, _RANK, _BUCKET, _BASE = (_FIELDS.index(f) for f in ("size", "rank", "bucket", "base"))
+_KINDS = [pa.float64() if f.endswith("double") else pa.int64() for f in _ROW.split(", ")]
 
 
 def _settle(a: list, b: list, rng: random.Random) -> list | None:
     """Move words between the fractions of rows a and b until one is whole; the row that is not."""
-    up = min((1 - a[-1]) * a[2], b[-1] * b[2])
-    down = min(a[-1] * a[2], (1 - b[-1]) * b[2])
+    up = min((1 - a[-1]) * a[_SIZE], b[-1] * b[_SIZE])
+    down = min(a[-1] * a[_SIZE], (1 - b[-1]) * b[_SIZE])
     words = up if rng.random() * (up + down) < down else -down
-    a[-1] += words / a[2]
-    b[-1] -= words / b[2]
+    a[-1] += words / a[_SIZE]
+    b[-1] -= words / b[_SIZE]
     left = [r for r in (a, b) if _EPS < r[-1] < 1 - _EPS]
     return left[0] if left else None
 
 
 def _pivot(level: int, last: bool, seed: int):
-    """Streams rows sorted by (rank, bucket, size descending, doc_id, h); each node leaves one fraction at most."""
+    """Streams rows sorted by (rank, bucket, size descending, doc_id, h, r, k); each node leaves one fraction at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         node, open_row, rng, done = None, None, None, []
 
         def whole(r):
-            r[5] += r[-1] >= 0.5
+            r[_BASE] += r[-1] >= 0.5
             r[-1] = -1.0
             done.append(r)
 
@@ -138,18 +146,17 @@ def _pivot(level: int, last: bool, seed: int):
 
         def flush():
             cols = list(zip(*done)) if done else [[]] * len(_FIELDS)
-            kinds = [pa.int64()] * (len(_FIELDS) - 1) + [pa.float64()]
             done.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], _FIELDS)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _KINDS)], _FIELDS)
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns)):
                 row = list(row)
-                if (row[3], row[4]) != node:
+                if (row[_RANK], row[_BUCKET]) != node:
                     end()
-                    node, open_row = (row[3], row[4]), None
-                    rng = random.Random(f"{seed}/{level}/{row[3]}/{row[4]}")
-                if row[2] == 0 or not _EPS < row[-1] < 1 - _EPS:
+                    node, open_row = (row[_RANK], row[_BUCKET]), None
+                    rng = random.Random(f"{seed}/{level}/{row[_RANK]}/{row[_BUCKET]}")
+                if row[_SIZE] == 0 or not _EPS < row[-1] < 1 - _EPS:
                     whole(row)  # no words, or whole already
                 elif open_row is None:
                     open_row = row
@@ -166,56 +173,67 @@ def _pivot(level: int, last: bool, seed: int):
     return run
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = TOTAL_SHARE, most: int = MOST_COPIES, seed: int = 42) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies, h): what the mix takes of each row of ``docs``.
-
-    Size is the number of words ``[^\\x20\\x09-\\x0D]+`` (null or blank text: 0,
-    never more than certain copies taken); ``taken`` is ``copies`` whole times
-    the size, at most ``most``.  A null source is a source of its own, after
-    all others.  Rows that repeat or lack a doc_id are rows like any other;
-    ties in size and id are ordered by the hash ``h`` of the text.  An empty
-    table gives an empty result; further columns are ignored.
-    """
-    sizes = cut(sized(docs))
+def _taken(docs: DataFrame, weights: Sequence[int], share: float, most: int, seed: int, row_hash: Column | None) -> DataFrame:
+    """The rows of ``_ROW``, settled: ``base`` copies are taken of each row."""
+    sizes = cut(sized(docs, row_hash))
     targets = cut(source_targets(sizes, weights, share, most))
-    n = targets.count()
-    known = F.broadcast(targets) if n <= MOST_BROADCAST_SOURCES else targets
+    # Equal rows are one entry until they have met their source, and then at most LEAF of them leave it together.
+    entries = (sizes.groupBy(*_KEY).agg(F.count("*").alias("c"))
+               .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / LEAF))))
+               .withColumn("of", F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), "source")))
+               .withColumn("deal", F.xxhash64("doc_id", "h", "r", "chunk")))
+    known = targets.select(F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), "source")).alias("of"), "rank", "n", "source_size", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    joined = sizes.alias("d").join(known.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-    start = joined.select("doc_id", "h", "size", "rank",
-                          F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("n") / LEAF)).alias("bucket"),
-                          F.floor(rate + _EPS).alias("base"), F.greatest(rate - F.floor(rate + _EPS), F.lit(0.0)).alias("p"))
+    ends = F.least(F.col("c"), (F.col("chunk") + 1) * LEAF) - 1
+    each = spread_join(entries, known, "of", "deal").withColumn("k", F.explode(F.sequence(F.col("chunk") * LEAF, ends)))
+    start = each.select("doc_id", "h", "r", "k", "size", "rank",
+                        F.pmod(F.xxhash64("doc_id", "size", "h", "r", "k"), F.ceil(F.col("n") / LEAF)).alias("bucket"), "source_size", "target",
+                        F.floor(rate + _EPS).alias("base"),
+                        # a text without words is never more than certainly taken
+                        F.when(F.col("size") > 0, F.greatest(rate - F.floor(rate + _EPS), F.lit(0.0))).otherwise(F.lit(0.0)).alias("p"))
     buckets = targets.agg(F.max(F.ceil(F.col("n") / LEAF)).alias("b")).first()["b"] or 1
     settled, level = None, 0
     while True:
         last = buckets == 1
         rows = (start.repartition("rank", "bucket")
-                .sortWithinPartitions("rank", "bucket", F.desc("size"), "doc_id", "h"))
-        out = rows.select(*_FIELDS).mapInArrow(_pivot(level, last, seed), _ROW)
-        out = cut(out)
+                .sortWithinPartitions("rank", "bucket", F.desc("size"), "doc_id", "h", "r", "k"))
+        out = cut(rows.select(*_FIELDS).mapInArrow(_pivot(level, last, seed), _ROW))
         whole = out.filter("p < 0")
         settled = whole if settled is None else settled.unionAll(whole)
         if last:
-            break
+            return settled
         start = out.filter("p >= 0").withColumn("bucket", F.expr(f"bucket div {FAN}"))
         buckets, level = -(-buckets // FAN), level + 1
-    by_rank = targets.select("rank", "source_size", "target")
-    taken = settled.join(F.broadcast(by_rank) if n <= MOST_BROADCAST_SOURCES else by_rank, "rank")
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = TOTAL_SHARE, most: int = MOST_COPIES, seed: int = 42) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies, h): what the mix takes of each row of ``docs``.
+
+    Size is the number of words ``[^\\x20\\x09-\\x0D]+``; ``taken`` is ``copies``
+    whole times the size, at most ``most``.  A null, empty or blank text has size
+    0 and no fraction: its copies are the whole ones its source is sure of.  A
+    null source is a source of its own, after all others.  Rows that repeat or
+    lack a doc_id are rows like any other; ties in size and id are ordered by
+    the hash ``h`` of the text.  A very long text is counted from its bytes in
+    one pass.  An empty table gives an empty result; further columns are ignored.
+    """
+    taken = _taken(docs, weights, share, most, seed, None)
     return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("base")).alias("taken"),
                         F.col("base").alias("copies"), "h")
 
 
 def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = TOTAL_SHARE, most: int = MOST_COPIES, seed: int = 42) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it (0 to ``most`` times), with the columns of ``docs``."""
-    from pyspark.sql import Window
-
-    key = [F.col("id"), F.col("h")]
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.col("source").cast("string").alias("src"))
-    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy(*key).orderBy("src")))
-    wanted = mix(docs, weights, share, most, seed).select(F.col("doc_id").alias("i"), F.col("h").alias("g"), "copies", "target", "source_size")
-    # Rows of one doc_id and text are told apart by source order alone; equal rows are interchangeable.
-    wanted = wanted.withColumn("m", F.row_number().over(Window.partitionBy("i", "g").orderBy("copies")))
-    both = rows.join(wanted, F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")) & (F.col("k") == F.col("m")))
-    times = both.filter("copies > 0").select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("one"))
-    return times.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    """The rows of ``docs``, each as often as the mix takes it (0 to ``most`` times), with the columns of ``docs``.
+
+    Equal rows are combined in the tasks, and one of them comes back as often as
+    all of them are taken.
+    """
+    row = F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns])
+    key = ["i", "no_id", "h", "r"]
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("no_id"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), row.alias("r"))
+    one = rows.groupBy(*key).agg(F.first("row").alias("row"))
+    wanted = (_taken(docs, weights, share, most, seed, row)
+              .groupBy(F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("no_id"), "h", "r").agg(F.sum("base").alias("times")).filter("times > 0"))
+    out = one.join(wanted, key).select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("one"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
