@@ -8,13 +8,18 @@ bits are stored.  Two bins that differ agree by chance once in 2**BITS; the
 likeness of two fingerprints takes that share out again.
 
 An edited text joins a document with the next one by descending id.  Documents
-are dealt to ranges of ids, whose bounds are quantiles of all ids; a range gets
-one more row, the first of the next range, so each text is shuffled once.
+are dealt to ranges of ids of at most about ``RANGE_ROWS`` rows, whose bounds are
+quantiles of all ids; an id that fills more than a range of its own (null is one)
+is dealt on by the hash of the text, the order within an id.  Rows of one id and
+text that still fill a range go through it once, with their number: each but the
+last is followed by its like.  A range gets one more row, the first of the next
+range, so each text is shuffled once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +29,13 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbum.llm.common import word_blocks, worker_cache
+from verbum.llm.common import cut, word_blocks, worker_cache
 
 SHINGLE, BINS, BITS = 5, 256, 4
 SEED = 42
 WALK = 64
 CACHE_WORDS = 400_000
-MOST_RANGES = 4096
+RANGE_ROWS = 1 << 18
 _BIN_BITS = BINS.bit_length() - 1
 _R = np.random.default_rng(SEED)
 _MUL = _R.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,65 +128,100 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-_KIND = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "times"]
+_KIND = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, times long"
+_CHUNK = 4096  # rows that one row of a count becomes at a time
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (seq, halo, doc_id, text) in order; each is compared with the next, a range's last with its halo row."""
-    out, last = [], None  # last: seq, doc_id, text, fingerprint
+    """Rows (halo, doc_id, text, n) in order; each is compared with the next, a range's last with its halo row.
 
-    def against(text: str, fp: bytes) -> None:
-        new = edited(last[2], text).encode()
+    A row that stands for n is followed by itself n - 1 times.
+    """
+    out, last = [], None  # last: doc_id, text, fingerprint
+
+    def against(text: str, fp: bytes, times: int) -> None:
+        new = edited(last[1], text).encode()
         new_fp = fingerprint(new)
-        out.append((last[1], len(last[2]), hashlib.sha256(new).hexdigest(), last[3].hex(), new_fp.hex(), likeness(last[3], new_fp), likeness(last[3], fp)))
+        out.append((last[0], len(last[1]), hashlib.sha256(new).hexdigest(), last[2].hex(), new_fp.hex(), likeness(last[2], new_fp), likeness(last[2], fp), times))
 
     def flush():
         cols = list(zip(*out)) if out else [[]] * len(_NAMES)
         out.clear()
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], _NAMES)
 
     for b in batches:
-        for seq, halo, doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+        for halo, doc_id, text, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
             if halo and last is None:
                 continue  # the range's last row has been compared
             text = text.as_py()
             fp = fingerprint(text.encode())
             if last is not None:
-                against(text, fp)
-            last = None if halo else (seq, doc_id, text, fp)
+                against(text, fp, 1)
+            last = None if halo else (doc_id, text, fp)
+            if not halo and n > 1:
+                against(text, fp, n - 1)
         yield flush()
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def _one_row_a_copy(rows: DataFrame) -> DataFrame:
+    """``times`` rows for each row, by chunks, so that no array grows with a count."""
+    chunks = rows.withColumn("_at", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / _CHUNK))))
+    ends = F.least(F.lit(_CHUNK), F.col("times") - F.col("_at") * _CHUNK)
+    return chunks.withColumn("_one", F.explode(F.sequence(F.lit(1), ends))).drop("_at", "_one", "times")
+
+
+def fingerprints(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), one row per row of ``docs``.
 
     The next document is the one after this by descending doc_id, null last,
     and by the text's xxhash64 among rows of one id; after the last comes the
-    first, and a single row is its own next.  A null text counts as empty.  An
-    empty table gives an empty result; further columns are ignored.
+    first, and a single row is its own next.  A null text counts as empty.  A
+    very long text is hashed some megabytes at a time.  An empty table gives an
+    empty result; further columns are ignored.
     """
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
-    n_ranges = min(MOST_RANGES, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    n_rows = rows.count()
+    if not n_rows:
+        return spark.createDataFrame([], _KIND).drop("times")
+    # Ranges grow in number with the rows; a few per shuffle partition at least.
+    n_ranges = max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // range_rows))
+    full = max(2, -(-n_rows // n_ranges))  # rows of a range
+    x = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan")))
+    # Ids that fill a range, n_ranges at most.  (Ids beyond 2**53 that are one double stay together.)
+    filled = (rows.groupBy(x.alias("x")).agg(F.count("*").alias("n"), F.min("doc_id").alias("i"), F.max("doc_id").alias("j"))
+              .filter((F.col("n") >= full) & F.col("i").eqNullSafe(F.col("j"))).collect())
+    hot = spark.createDataFrame([(r["i"] or 0, r["i"] is None, -(-r["n"] // full)) for r in filled], "i long, z boolean, subs long")
     shares = [i / n_ranges for i in range(1, n_ranges)]
-    bounds = sorted(set(rows.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", shares, 0.2 / n_ranges)))
-    ranked = rows.withColumn("x", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan"))))
-    splits = [float("-inf"), *bounds, float("inf")] if bounds else [float("-inf"), 0.0, float("inf")]
-    dealt = Bucketizer(splits=splits, inputCol="x", outputCol="bucket", handleInvalid="keep").transform(ranked)
+    bounds = set(rows.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", shares, 0.2 / n_ranges))
+    # A range of ids holds an id that is dealt on, or others.
+    bounds |= {y for r in filled if r["i"] is not None for y in (float(r["i"]), math.nextafter(float(r["i"]), math.inf))}
+    splits = [float("-inf"), *sorted(bounds), float("inf")] if bounds else [float("-inf"), 0.0, float("inf")]
     top = len(splits) - 2
-    seq = F.when(F.col("doc_id").isNull(), F.lit(top + 1)).otherwise(F.lit(top) - F.col("bucket").cast("int"))
-    dealt = dealt.select(seq.cast("int").alias("seq"), F.lit(0).alias("halo"), "doc_id", "text", "h", F.bitwise_not("doc_id").alias("down"))
-    firsts = dealt.groupBy("seq").agg(F.min(F.struct("down", "h")).alias("f")).orderBy("seq").collect()  # n_ranges + 2 rows at most
-    if not firsts:
-        return spark.createDataFrame([], _KIND)
-    following = [(a["seq"], None if b["f"]["down"] is None else ~b["f"]["down"], b["f"]["h"]) for a, b in zip(firsts, firsts[1:] + firsts[:1])]
-    wanted = spark.createDataFrame(following, "to int, i long, g long")
-    first_rows = rows.filter(F.col("doc_id").isin(*{i for _, i, _ in following if i is not None}) | F.col("doc_id").isNull())
-    halo = (first_rows.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("g")))
-            .select(F.col("to").alias("seq"), F.lit(1).alias("halo"), "doc_id", "text", "h", F.bitwise_not("doc_id").alias("down")))
-    ordered = (dealt.unionAll(halo).repartition("seq")
-               .sortWithinPartitions("seq", "halo", F.asc_nulls_last("down"), "h"))
-    return ordered.select("seq", "halo", "doc_id", "text").mapInArrow(_compare, _KIND)
+    at = Bucketizer(splits=splits, inputCol="x", outputCol="bucket", handleInvalid="keep").transform(rows.withColumn("x", x))
+    seq = F.when(F.col("doc_id").isNull(), F.lit(top + 1)).otherwise(F.lit(top) - F.col("bucket").cast("int")).cast("int")
+    keyed = at.select(seq.alias("seq"), F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("z"), "doc_id", "text", F.xxhash64("text").alias("h"))
+    with_subs = keyed.join(F.broadcast(hot), ["i", "z"], "left")
+    share = (F.col("h").cast("double") + F.lit(2.0 ** 63)) / F.lit(2.0 ** 64)
+    sub = F.coalesce(F.least(F.floor(share * F.col("subs")), F.col("subs") - 1), F.lit(0)).cast("long")
+    columns = ["seq", "i", "z", "doc_id", "text", "h"]
+    dealt = with_subs.select(*columns, sub.alias("sub"), F.lit(1).cast("long").alias("n"))
+    if filled:
+        # Of these ids, texts that fill a range: one row each, with its number.
+        own = keyed.join(F.broadcast(hot.select("i", "z")), ["i", "z"], "left_semi").groupBy("i", "z", "h").agg(F.count("*").alias("n")).filter(F.col("n") >= full)
+        pairs = F.broadcast(cut(own).select("i", "z", "h"))
+        alike = dealt.join(pairs, ["i", "z", "h"], "left_semi").groupBy("seq", "i", "z", "h", "sub").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.sum("n").alias("n"))
+        dealt = dealt.join(pairs, ["i", "z", "h"], "left_anti").unionByName(alike)
+    dealt = dealt.withColumn("down", F.bitwise_not("doc_id"))
+    firsts = dealt.groupBy("seq", "sub").agg(F.min(F.struct("down", "h")).alias("f")).orderBy("seq", "sub").collect()  # a row a range
+    following = [(a["seq"], a["sub"], 0 if b["f"]["down"] is None else ~b["f"]["down"], b["f"]["down"] is None, b["f"]["h"]) for a, b in zip(firsts, firsts[1:] + firsts[:1])]
+    wanted = spark.createDataFrame(following, "to_seq int, to_sub long, i long, z boolean, h long")
+    near = dealt.join(F.broadcast(wanted.select("i", "z").distinct()), ["i", "z"], "left_semi")
+    halo = (near.join(F.broadcast(wanted), ["i", "z", "h"])
+            .select(F.col("to_seq").alias("seq"), F.col("to_sub").alias("sub"), F.lit(1).alias("halo"), "doc_id", "text", "n", "h", "down"))
+    both = dealt.select("seq", "sub", F.lit(0).alias("halo"), "doc_id", "text", "n", "h", "down").unionAll(halo)
+    ordered = both.repartition("seq", "sub").sortWithinPartitions("seq", "sub", "halo", F.asc_nulls_last("down"), "h")
+    return _one_row_a_copy(ordered.select("halo", "doc_id", "text", "n").mapInArrow(_compare, _KIND))
