@@ -1,9 +1,11 @@
 """URL filter by host-suffix and path-prefix expressions.
 
-Each distinct (host, path) is expanded into host suffixes times the path
-prefixes of the lengths that rules have; expressions meet rules by an equi-join
-on a short hash prefix, and the full digest confirms.  The longest rule that
-fits decides.
+Each distinct (host, path) is expanded into host suffixes of as many labels as
+rules' hosts have, times the path prefixes of the lengths that rules have;
+expressions meet rules by an equi-join on a short hash prefix, and the full
+digest confirms.  The longest rule that fits decides.  So a url has at most
+(labels of the longest rule host) x (lengths of rule paths) expressions, however
+long it is.
 """
 
 from __future__ import annotations
@@ -40,7 +42,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, other
     The longest rule wins, then the longer host; of one rule with both verdicts
     block wins.  Without a rule the verdict is ``otherwise`` and ``rule`` is
     null; a null url, or one without ``://``, has an empty host and path and no
-    rule.  Rows that repeat or lack a page_id are rows like any other; an empty
+    rule.  A very long host or path costs time in proportion to its length.
+    Rows that repeat or lack a page_id are rows like any other; an empty
     table gives an empty result; further columns are ignored.
     """
     spark = pages.sparkSession
@@ -48,14 +51,18 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, other
     given = spark.createDataFrame([(r, v) for r, v in rules], "rule string, verdict string")
     listed = (given.groupBy("rule").agg(F.max("verdict").alias("verdict"))  # "block" sorts after "allow"
               .withColumn("digest", _digest(F.col("rule"))).withColumn("short", F.substring("digest", 1, 2 * PREFIX_BYTES)))
+    if not rules:
+        host, path = host_and_path(F.col("url"))
+        return pages.select("page_id", host.alias("host"), path.alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(otherwise).alias("verdict"))
     lengths = sorted({len(r) - r.index("/") for r, _ in rules})
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"))
     distinct = rows.filter("host != ''").select("host", "path").distinct()
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    depths = sorted({r[:r.index("/")].count(".") + 1 for r, _ in rules})
+    n_labels = F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1
+    suffixes = F.array(*[F.when(n_labels >= d, F.substring_index("host", ".", -d)) for d in depths])
     prefixes = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths])
-    parts = (distinct.withColumn("suffix", F.explode(suffixes))
+    parts = (distinct.withColumn("suffix", F.explode(suffixes)).filter("suffix IS NOT NULL")
              .withColumn("prefix", F.explode(prefixes)).filter("prefix IS NOT NULL")
              .withColumn("full", _digest(F.concat("suffix", "prefix")))
              .withColumn("short", F.substring("full", 1, 2 * PREFIX_BYTES)))
