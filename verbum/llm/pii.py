@@ -16,6 +16,7 @@ import re
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -149,6 +150,41 @@ def _fold(m: re.Match) -> str | None:
     return _FOLDED[c]
 
 
+# Letters of Latin blocks stand for the one their name says; they are folded only
+# in what an @ holds together, as they are ordinary letters elsewhere.
+_LETTER = re.compile(r"LATIN (SMALL|CAPITAL) LETTER (?:(?:DOTLESS|SCRIPT|LONG|BARRED|OPEN|SMALL CAPITAL) )?([A-Z]|ALPHA|IOTA)(?: WITH .*)?|LATIN LETTER SMALL CAPITAL ([A-Z])")
+_ACCENTED = re.compile(r"[\u00c0-\u02af\u1e00-\u1eff]")
+_AT_LEFT, _AT_RIGHT = re.compile(r"[\w.%+-]"), re.compile(r"[\w.-]*")
+
+
+def _plain_letter(c: str) -> str | None:
+    m = _LETTER.fullmatch(unicodedata.name(c, ""))
+    if not m:
+        return None
+    letter = {"ALPHA": "A", "IOTA": "I"}.get(m[2], m[2] or m[3])
+    return letter if m[1] == "CAPITAL" else letter.lower()
+
+
+def _fold_addresses(text: str) -> tuple[str, Offsets]:
+    """``text`` with the accented letters of words around an @ folded."""
+    around, end, at = [], 0, text.find("@")
+    while at >= 0:
+        lo = at
+        while lo > end and _AT_LEFT.match(text[lo - 1]):
+            lo -= 1
+        end = _AT_RIGHT.match(text, at + 1).end()
+        if not text[lo:end].isascii():
+            around.append((lo, end))
+        at = text.find("@", max(end, at + 1))
+    starts = [lo for lo, _ in around]
+
+    def by(m: re.Match) -> str | None:
+        k = bisect_right(starts, m.start()) - 1
+        return _plain_letter(m[0]) if k >= 0 and m.start() < around[k][1] else None
+
+    return rewrite(text, _ACCENTED, by) if around else (text, Offsets())
+
+
 _SPELLED = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
     "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
@@ -177,13 +213,25 @@ def _digits(m: re.Match) -> str | None:
 
 
 _AT = r"(?:at|@|arroba|arobase)"
+_WORD = r"(?:dot|punkt|point|punto)"
 _DISGUISE = re.compile(
     rf"(?i)(?P<at>[\x20]?[\[({{<][\x20]?{_AT}[\x20]?[\])}}>][\x20]?|(?<=[A-Za-z0-9])\x20@\x20(?=[A-Za-z0-9])"
-    rf"|(?<=[A-Za-z0-9])\x20at\x20(?=[A-Za-z0-9-]+(?:{_POINT})[A-Za-z0-9-]))|(?<=[A-Za-z0-9])(?P<dot>{_POINT})(?=[A-Za-z0-9])"
+    rf"|(?<=[A-Za-z0-9])\x20at\x20(?=[A-Za-z0-9-]+(?:{_POINT})[A-Za-z0-9-])"
+    rf"|(?<=[A-Za-z0-9])\x20(?:arroba|arobase)\x20(?=[A-Za-z0-9-]+(?:{_POINT}|\.)[A-Za-z0-9-])"
+    rf"|(?<=[A-Za-z0-9])_at_(?=[A-Za-z0-9-]+_{_WORD}_[A-Za-z0-9]))"
+    rf"|(?P<plain>(?<=[A-Za-z0-9])\x20at\x20(?=(?:[A-Za-z0-9-]+\.)+[A-Za-z]{{2,}}(?![A-Za-z0-9])))"
+    rf"|(?<=[A-Za-z0-9])(?P<dot>{_POINT}|_{_WORD}_)(?=[A-Za-z0-9])"
 )
+# Before " at " and a plain domain only a word that looks like a mailbox: letters joined by a sign, or ending in digits.
+_MAILBOX = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:[._][A-Za-z][A-Za-z0-9]*)+|[A-Za-z]{2,}[0-9]+")
 
 
-def _sign(m: re.Match) -> str:
+def _sign(m: re.Match) -> str | None:
+    if m["plain"]:
+        start = m.start()
+        while start and m.string[start - 1] in _LOCAL:
+            start -= 1
+        return "@" if _MAILBOX.fullmatch(m.string, start, m.start()) else None
     return "@" if m["at"] else "."
 
 
@@ -191,24 +239,28 @@ def _sign(m: re.Match) -> str:
 _POINT_RE2 = r"[\[({<] ?(dot|punkt|point|punto|\.|at|@|arroba|arobase) ?[\])}>]| (dot|punkt|point|punto) | @ "
 _ANY_RE2 = rf"({_NUMBER}|[0-9]+)[ ,-]{{1,2}}"
 TRIGGER = (r"(?i)[^\x00-\x7f\x{c0}-\x{24f}]|" + _POINT_RE2
+           + r"| at ([a-z0-9-]+\.)+[a-z]| (arroba|arobase) |_at_[a-z0-9-]+_(dot|punkt|point|punto)_"
+           + r"|[\x{c0}-\x{24f}][a-z0-9._%+\x{c0}-\x{24f}-]*@|@[a-z0-9.-]*[\x{c0}-\x{24f}]"
            + rf"|{_ANY_RE2}{_ANY_RE2}({_NUMBER})|({_NUMBER})[ ,-]{{1,2}}{_ANY_RE2}({_NUMBER}|[0-9])|({'|'.join(_MANY)}) ({_NUMBER})")
 
 
 def disguised_spans(text: str, base: list[Span]) -> list[Span]:
     """Identifiers of the rewritten text, mapped back; those inside a base span are left out."""
     chain, now = [], text
-    for pattern, by in ((_ODD, _fold), (_RUN, _digits), (_DISGUISE, _sign)):
-        now, offsets = rewrite(now, pattern, by)
+    steps = (lambda t: rewrite(t, _ODD, _fold), _fold_addresses, lambda t: rewrite(t, _RUN, _digits), lambda t: rewrite(t, _DISGUISE, _sign))
+    for step in steps:
+        now, offsets = step(now)
         if offsets.new_lo:
             chain.append(offsets)
     if not chain:
         return []
     out: list[Span] = []
+    starts, reach = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
     for lo, k, hi in base_spans(now):
         for offsets in reversed(chain):
             lo, hi = offsets.source(lo, hi)
-        i = bisect_right(base, (lo, len(KINDS), 0))  # base spans that start at or before this one
-        if not any(a <= lo and hi <= b for a, _, b in base[max(0, i - 2 * len(KINDS)):i]):
+        i = bisect_right(starts, lo) - 1  # base spans that start at or before this one, and how far any of them reaches
+        if i < 0 or reach[i] < hi:
             out.append((lo, k, hi))
     return sorted(set(out))
 
@@ -223,7 +275,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     Counts and ``base_sha256`` are of the base spans; ``spans`` holds these and
     the ``n_added`` disguised ones, as kind:start:end in code points, end
     exclusive, by start and then kind.  A null or empty text has no spans (the
-    hash is of the empty string).  Rows that repeat or lack a doc_id are rows
+    hash is of the empty string); a very long text takes time in proportion to
+    its length.  Rows that repeat or lack a doc_id are rows
     like any other; an empty table gives an empty result; further columns are
     ignored.
     """
