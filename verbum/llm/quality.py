@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from verbum.llm.common import word_blocks, worker_cache
 
-CORES, SHAPES, DIM, NONZERO = 32_768, 1024, 32, 2
+CORES, SHAPES, DIM, NONZERO = 32_768, 1024, 64, 2
 ROWS = CORES + SHAPES
 BLOCK_ROWS, SALTS = 512, 32
 CHUNK_WORDS = 200_000
@@ -66,7 +66,8 @@ def rows_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _index() -> tuple[np.ndarray, np.ndarray]:
     """Place and sign of each row's non-zero entries."""
     r = np.random.default_rng(SEED)
-    return r.integers(0, DIM, (ROWS, NONZERO)), r.choice((-1.0, 1.0), (ROWS, NONZERO))
+    places = r.random((ROWS, DIM)).argpartition(NONZERO, axis=1)[:, :NONZERO]  # without replacement
+    return places, r.choice((-1.0, 1.0), (ROWS, NONZERO))
 
 
 def _contexts(core: np.ndarray, shape: np.ndarray, doc: np.ndarray, index: tuple, out: np.ndarray) -> None:
@@ -235,10 +236,14 @@ def _held_out():
 
 
 def train(docs: DataFrame, labels: DataFrame, vectors, max_train: int = MAX_TRAIN) -> Network:
-    """Fit on labelled documents that are not held out, ``max_train`` at most, chosen by the hash of the id."""
+    """Fit on labelled documents that are not held out, ``max_train`` at most, chosen by the hash of the id.
+
+    Labels of documents that are not there are left out before the choice.
+    """
+    there = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
              .filter(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & ~_held_out())
-             .groupBy("doc_id").agg(F.max("y").alias("y"))
+             .groupBy("doc_id").agg(F.max("y").alias("y")).join(there, "doc_id", "left_semi")
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +277,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     probability of label 1, from the text alone; null, empty and blank texts
     have the zero vector and are scored by it.  ``predicted`` is 1 if score >=
     ``threshold``.  Labels other than 0 and 1 are left out; of several labels of
-    one document the larger counts.  Without labels every score is 0.5.
+    one document the larger counts; labels of documents that are not in ``docs``
+    are left out.  Without labels every score is 0.5.  A very long text is pooled
+    some megabytes at a time.  Rows that repeat or lack a doc_id are scored like
+    any other; an empty table gives an empty result; further columns are ignored.
     """
     vectors, net = _model(docs, labels, max_train)
 
