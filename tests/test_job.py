@@ -50,3 +50,18 @@ def test_a_task_and_the_reduced_task_on_its_coefficients(spark, corpus, tmp_path
 def test_the_reduced_task_needs_coefficients(spark, corpus, tmp_path):
     with pytest.raises(ValueError, match="coefficient"):
         run_job(spark, "both", f"{corpus}/train", f"{corpus}/test", f"{tmp_path}/out", params=P)
+
+
+def test_a_stopped_job_goes_on(spark, corpus, tmp_path, monkeypatch):
+    """The second run starts at the state of the first and writes the report that an undisturbed run writes."""
+    from verbum.operators import svm
+
+    p, folder = P.with_(svm_max_iter=4), f"file:{tmp_path}/state"
+    run_job(spark, "svm", f"{corpus}/train", f"{corpus}/test", f"{tmp_path}/whole", params=p)
+    run_job(spark, "svm", f"{corpus}/train", f"{corpus}/test", f"{tmp_path}/half", params=p.with_(svm_max_iter=2), resume=folder)
+    passes, real = [], svm._iteration_sums
+    monkeypatch.setattr(svm, "_iteration_sums", lambda *a: passes.append(1) or real(*a))
+    run_job(spark, "svm", f"{corpus}/train", f"{corpus}/test", f"{tmp_path}/rest", params=p, resume=folder)
+    assert len(passes) == 2 and _report(spark, f"{tmp_path}/rest") == _report(spark, f"{tmp_path}/whole")
+    with pytest.raises(ValueError, match="resumed"):
+        run_job(spark, "lr", f"{corpus}/train", f"{corpus}/test", f"{tmp_path}/no", params=p, resume=folder)

@@ -1,6 +1,7 @@
 """The three tasks as a job on text files: ``python -m verbum.job TASK TRAIN TEST OUT``.
 
-  svm   linear SVM on the full dictionary; ``--coefficients-out`` writes its coefficient report
+  svm   linear SVM on the full dictionary; ``--coefficients-out`` writes its coefficient report,
+        ``--resume`` names a shared folder: a stopped training goes on from its last state there
   lr    logistic regression on the full dictionary; ``--coefficients-out`` likewise
   both  both models on a reduced dictionary; ``--coefficients`` names a coefficient report
 
@@ -21,8 +22,8 @@ from verbum.sources import load_coefficients, scan_corpus, write_report
 
 
 def run_job(spark: SparkSession, task: str, train: str, test: str, out: str, coefficients: str | None = None,
-            coefficients_out: str | None = None, params: Params = Params()) -> str:
-    """Run one task from corpus files to the written report; tables made on the way are removed."""
+            coefficients_out: str | None = None, params: Params = Params(), resume: str | None = None) -> str:
+    """Run one task from corpus files to the written report; tables made on the way are removed, the folder ``resume`` is not."""
     train_lines, test_lines = scan_corpus(spark, train), scan_corpus(spark, test)
     with own_tables(spark):
         if task == "both":
@@ -31,7 +32,9 @@ def run_job(spark: SparkSession, task: str, train: str, test: str, out: str, coe
             rows, _, _ = tk.task_reduced_both(train_lines, load_coefficients(spark, coefficients), test_lines, params)
             return write_report(comparison_report(rows), out)
         run, write = {"svm": (tk.task_svm_full, tk.write_svm_coefficients), "lr": (tk.task_lr_full, tk.write_lr_coefficients)}[task]
-        result = run(train_lines, test_lines, params)
+        if resume is not None and task != "svm":
+            raise ValueError("only the SVM's training can be resumed")
+        result = run(train_lines, test_lines, params, **({"resume": resume} if resume is not None else {}))
         if coefficients_out is not None:
             write(result, params, coefficients_out)
         return write_report(result.report, out)
@@ -44,9 +47,10 @@ def main() -> None:
         a.add_argument(path)
     a.add_argument("--coefficients")
     a.add_argument("--coefficients-out")
+    a.add_argument("--resume")
     args = a.parse_args()
     spark = SparkSession.builder.appName("verbum").getOrCreate()
-    run_job(spark, args.task, args.train, args.test, args.out, args.coefficients, args.coefficients_out)
+    run_job(spark, args.task, args.train, args.test, args.out, args.coefficients, args.coefficients_out, resume=args.resume)
     spark.stop()
 
 
