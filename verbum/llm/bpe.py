@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 
 from verbum.llm.common import worker_cache
 
-LEAF_CHARS, LEAF_BYTES, LEAF_IDS = 2048, 16, 4096
+LEAF_CHARS, LEAF_BYTES, LEAF_IDS = 2048, 24, 4096
 LOOK_AHEAD = 2
 SHORT = 256  # bytes that are merged by looking through all neighbours
-CACHE_PIECES, CACHE_PAIRS, CACHE_CHARS = 1_000_000, 200_000, 32  # about 250 MB a worker at most
+CACHE_PIECES, CACHE_PAIRS, CACHE_CHARS = 400_000, 100_000, 32  # about 200 MB a worker at most
 _NO_RANK = 1 << 62
 
 Part = tuple[list[str], list[bytes]]  # pre-tokens and their ids as little-endian uint32
@@ -105,17 +105,19 @@ class Bpe(dict):
         self.words: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
         for word, rank in self.ranks.items():
             self.words[rank] = word
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.older: dict[str, bytes] = {}
 
     # ------------------------------------------------------------ pre-tokens
 
     def apart(self, a: int, b: int) -> bool:
         """Whether the two tokens side by side are encoded as these two."""
-        found = self.pairs.get((a, b))
+        key = a << 32 | b
+        found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            found = self.pairs[a, b] = plain_ids(self.ranks, self.words[a] + self.words[b]) == [a, b]
+            found = self.pairs[key] = plain_ids(self.ranks, self.words[a] + self.words[b]) == [a, b]
         return found
 
     def join_ids(self, left: list[int], right: list[int]) -> list[int]:
@@ -145,11 +147,15 @@ class Bpe(dict):
         return self.join_ids(self.ids(data[:half]), self.ids(data[half:]))
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.ids(piece.encode())).tobytes()
-        if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = ids
+        if len(piece) > CACHE_CHARS:
+            return array("I", self.ids(piece.encode())).tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("I", self.ids(piece.encode())).tobytes()
+        if len(self) >= CACHE_PIECES:  # those not seen for so many others are forgotten
+            self.older = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
     # ------------------------------------------------------------ texts
