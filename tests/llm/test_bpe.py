@@ -71,5 +71,7 @@ def test_query_against_the_library(spark, reference):
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted(map(tuple, bpe.token_report(docs).collect()), key=str) == sorted(want, key=str)
     assert bpe.token_report(docs.limit(0)).count() == 0
+    apart = bpe.decode(bpe.encode(docs)).collect()
+    assert sorted((str(r["doc_id"]), bytes(r["bytes"])) for r in apart) == sorted((str(i), (t or "").encode()) for i, t in rows)
     odd = spark.createDataFrame([(1, None), (2, []), (3, [64, 220])], "doc_id long, ids array<int>")
     assert {r["doc_id"]: bytes(r["bytes"]) for r in bpe.decode(odd).collect()} == {1: b"", 2: b"", 3: b"a "}

@@ -219,6 +219,36 @@ def _given(path: str | None, pattern: str | None) -> tuple[str, str]:
     return path, pattern
 
 
+def _encoding(path: str, pattern: str):
+    """(doc_id, text) to (doc_id, ids), batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = vocabulary(path, pattern)
+        for b in batches:
+            found = [bpe.encode(t.as_py() or "") for t in b.column(1)]
+            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found]))).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(found), "<i4"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "ids"])
+
+    return run
+
+
+def _decoding(path: str, pattern: str):
+    """(doc_id, ids) to (doc_id, ids, bytes), batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = vocabulary(path, pattern)
+        for b in batches:
+            found = [bpe.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["doc_id", "ids", "bytes"])
+
+    return run
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, ids array<int>): the ids of each whole text, one row per row of ``docs``.
 
@@ -230,17 +260,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None)
     matter, as rows do not meet.  An empty table gives an empty result; further
     columns, whatever their names, are ignored.
     """
-    path, pattern = _given(path, pattern)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path, pattern)
-        for b in batches:
-            found = [bpe.encode(t.as_py() or "") for t in b.column(1)]
-            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found]))).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return _texts(docs).mapInArrow(_encoding(*_given(path, pattern)), "doc_id long, ids array<int>")
 
 
 def decode(tokens: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -249,20 +269,19 @@ def decode(tokens: DataFrame, path: str | None = None, pattern: str | None = Non
     No ids (null or empty) give no bytes.  An id outside the vocabulary fails
     the query.
     """
-    path, pattern = _given(path, pattern)
+    return tokens.select("doc_id", "ids").mapInArrow(_decoding(*_given(path, pattern)), "doc_id long, ids array<int>, bytes binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path, pattern)
-        for b in batches:
-            found = [bpe.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.binary())], ["doc_id", "ids", "bytes"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, bytes binary")
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``decode`` of ``encode``, both in one Python worker: (doc_id, ids, bytes)."""
+    given = _given(path, pattern)
+    there, back = _encoding(*given), _decoding(*given)
+    return _texts(docs).mapInArrow(lambda batches: back(there(batches)), "doc_id long, ids array<int>, bytes binary")
 
 
 def token_report(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each text's ids and of the bytes they decode to."""
-    whole = decode(encode(docs, path, pattern), path, pattern)
+    whole = round_trip(docs, path, pattern)
     return whole.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("bytes", 256).alias("decoded_sha256"))
