@@ -3,6 +3,7 @@
 import duckdb
 
 import __spark_entry__ as E
+from verbum.plans import catalog
 from verbum.plans import tasks as tk
 
 from conftest import SF001
@@ -11,11 +12,12 @@ from conftest import SF001
 def test_model_comparison_at_the_reference_settings(spark, monkeypatch):
     seen = []
 
-    def spy(name):
-        real = getattr(tk, name)
-        monkeypatch.setattr(tk, name, lambda v, k, params, **kw: seen.append((name, k, params.lr_max_iter if name == "lr_fit" else params.svm_max_iter)) or real(v, k, params, **kw))
+    def spy(name, module=tk):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda v, k, params, **kw: seen.append((name, k, params.lr_max_iter if name == "lr_fit" else params.svm_max_iter)) or real(v, k, params, **kw))
 
     spy("lr_fit")
+    spy("lr_fit", catalog)
     spy("svm_train")
     rows = {r["model"]: tuple(r) for r in E.queries()["model_comparison"](spark, SF001).collect()}
     assert sorted(seen) == [("lr_fit", 10000, 400), ("lr_fit", 20000, 100), ("svm_train", 10000, 400), ("svm_train", 20000, 400)]
